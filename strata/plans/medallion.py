@@ -51,7 +51,7 @@ def build_gold(layers: Layers, as_of=None, writer_groups: Iterable[str] = ()) ->
     channels = G.dim_channel(tx, as_of)
     layers.gold = {
         "dim_channel": channels,
-        "fact_transactions": G.fact_transactions(tx, merchants, channels, as_of),
+        "fact_transactions": G.fact_transactions(tx, merchants, None, as_of),
         "dim_merchant": G.dim_merchant(merchants, as_of),
         "dim_user": G.dim_user(users, writer_groups, as_of),
         "dim_date": G.dim_date(tx, as_of),

@@ -388,4 +388,4 @@ def q_fact_daily_window(spark, sf_dir):
     from strata.streaming.fact import daily_fact
 
     L = layers(spark, sf_dir)
-    return daily_fact(L.silver["transactions"], L.silver["merchants"], L.gold["dim_channel"])
+    return daily_fact(L.silver["transactions"], L.silver["merchants"])

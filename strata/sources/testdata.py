@@ -23,7 +23,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # pinned load instant for reproducible fixture runs
 FIXTURE_AS_OF = dt.datetime(2024, 12, 31, 0, 0, 0)
-_LAYOUT_VERSION = "v1"
+_LAYOUT_VERSION = "v2"
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -58,13 +58,32 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def _input_bytes(spark: SparkSession, paths) -> int:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(p)
+        total += hpath.getFileSystem(conf).getContentSummary(hpath).getLength()
+    return total
+
+
+def output_files(spark: SparkSession, input_bytes: int, target_bytes: int = 64 << 20) -> int:
+    """File count for a derived table: enough for every core to get a split, and files of
+    about ``target_bytes`` of input once the data outgrows the cluster's core count."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(cores, -(-input_bytes // target_bytes))
+
+
 def fixture_bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """Bronze table of one entity for ``sf_dir``, written once, then read with row ids."""
     path = f"{_bronze_dir(spark, sf_dir)}/{entity}"
     if not _exists(spark, f"{path}/_SUCCESS"):
         raw = raw_frame(spark, sf_dir, entity)
-        source = ",".join(table_path(sf_dir, t) for t in fixtures.RAW_INPUTS[entity])
-        with_audit(raw, source, FIXTURE_AS_OF).write.mode("overwrite").parquet(path)
+        inputs = [table_path(sf_dir, t) for t in fixtures.RAW_INPUTS[entity]]
+        files = output_files(spark, _input_bytes(spark, inputs))
+        (with_audit(raw, ",".join(inputs), FIXTURE_AS_OF)
+         .repartition(files).write.mode("overwrite").parquet(path))
     return read_bronze(spark, path)
 
 
