@@ -12,7 +12,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
 
 from strata import vocab
 from strata.functions.stamps import load_timestamp

@@ -76,3 +76,24 @@ def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None
     """
     records = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("j"))
     records.mapInPandas(_json_array_lines, "value string").write.mode(mode).text(path)
+
+
+def publish_files(spark: SparkSession, staged_dir: str, landing_dir: str, prefix: str = "") -> int:
+    """Move the data files of a staged write into a watched landing folder.
+
+    A rename is atomic per file, so an incremental scan never sees a half-written file.
+    Driver-side metadata operation only; returns the number of files moved.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src = jvm.org.apache.hadoop.fs.Path(staged_dir)
+    dst = jvm.org.apache.hadoop.fs.Path(landing_dir)
+    fs = src.getFileSystem(conf)
+    fs.mkdirs(dst)
+    moved = 0
+    for st in fs.listStatus(src):
+        name = st.getPath().getName()
+        if st.isFile() and not name.startswith((".", "_")):
+            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(dst, prefix + name))
+            moved += 1
+    return moved
