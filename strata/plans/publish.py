@@ -7,11 +7,18 @@ cuts lineage: a lost executor re-reads files instead of recomputing the pipeline
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 
-from strata.plans.medallion import SILVER_NAMES, Layers
+from strata.operators.dedup import rank_rows
+from strata.operators.entities import ENTITIES
+from strata.operators.quarantine import quarantine, rejected, unaccounted
+from strata.operators.silver import silver
+from strata.plans.medallion import SILVER_NAMES, Layers, build_gold
 
 GOLD_SNAPSHOTS = ("fact_transactions", "dim_merchant", "dim_user", "dim_channel", "dim_date")
+QUARANTINE_ORDER = ("transactions", "merchants", "users")
 
 
 def materialize(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -23,33 +30,31 @@ def materialize(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     return df.sparkSession.read.parquet(path)
 
 
-def publish(layers: Layers, root: str, snapshots: bool = True) -> dict[str, DataFrame]:
-    """Write winners (staging), silver, quarantine, gold and the gold snapshots.
+def publish(layers: Layers, root: str, as_of=None, writer_groups: Iterable[str] = (),
+            snapshots: bool = True) -> dict[str, DataFrame]:
+    """Write winners (staging), silver, gap reports, quarantine, gold and gold snapshots.
 
     The dedup winners are written once and re-read, so silver, quarantine and the gap
-    report do not each recompute the dedup aggregate.
+    report do not each recompute the dedup aggregate; gold reads the stored silver.
+    Returns table name -> stored DataFrame.
     """
-    from strata.operators.entities import ENTITIES
-    from strata.operators.dedup import rank_rows
-    from strata.operators.quarantine import quarantine, rejected, unaccounted
-    from strata.operators.silver import silver
-    from strata.plans.medallion import build_gold
-
-    as_of = None
     stored: dict[str, DataFrame] = {}
     winners = {n: materialize(w, f"{root}/staging/{n}_winners") for n, w in layers.winners.items()}
+    silvers, rejects, gaps = {}, {}, {}
     for n, raw in layers.bronze.items():
         e = ENTITIES[n]
-        stored[SILVER_NAMES[n]] = materialize(
+        silvers[n] = stored[SILVER_NAMES[n]] = materialize(
             silver(raw, e, as_of, winners=winners[n]), f"{root}/silver/{SILVER_NAMES[n]}")
-        layers.rejected[n] = rejected(raw, e, as_of, ranked=rank_rows(raw, e, winners[n]))
-        layers.unaccounted[n] = unaccounted(raw, e, winners[n])
+        rejects[n] = rejected(raw, e, as_of, ranked=rank_rows(raw, e, winners[n]))
+        gaps[n] = stored[f"unaccounted_{n}"] = materialize(
+            unaccounted(raw, e, winners[n]), f"{root}/silver/unaccounted_{n}")
     stored["quarantine"] = materialize(
-        quarantine([layers.rejected[n] for n in ("transactions", "merchants", "users")]),
+        quarantine([rejects[n] for n in QUARANTINE_ORDER if n in rejects], as_of),
         f"{root}/silver/quarantine")
-    layers.silver = {n: stored[SILVER_NAMES[n]] for n in layers.bronze}
-    build_gold(layers)
-    for name, df in layers.gold.items():
+    out = build_gold(Layers(bronze=dict(layers.bronze), winners=winners, silver=silvers,
+                            rejected=rejects, quarantine=stored["quarantine"], unaccounted=gaps),
+                     as_of, writer_groups)
+    for name, df in out.gold.items():
         stored[name] = materialize(df, f"{root}/gold/{name}")
     if snapshots:
         for name in GOLD_SNAPSHOTS:

@@ -24,8 +24,28 @@ def row_id() -> Column:
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Bronze Parquet table with its stable ``_row_id``."""
-    return spark.read.parquet(path).select("*", row_id().alias(vocab.ROW_ID))
+    """Bronze Parquet table with its stable ``_row_id``.
+
+    A table written whole by ``write_bronze`` stores a compact id (one long); any other
+    bronze table (for example one appended by the ingest stream) gets the exact
+    (file path, row index) pair from ``_metadata``.
+    """
+    df = spark.read.parquet(path)
+    if vocab.ROW_ID in df.columns:
+        return df
+    return df.select("*", row_id().alias(vocab.ROW_ID))
+
+
+def write_bronze(df: DataFrame, path: str, files: int | None = None) -> None:
+    """Overwrite a bronze table, storing a compact unique ``_row_id``.
+
+    ``monotonically_increasing_id`` is unique within one job (partition index in the high
+    bits) and, once written, fixed: later reads and task retries see the stored value.
+    Being a long instead of a path string, it keeps the dedup shuffles narrow.
+    """
+    if files:
+        df = df.repartition(files)
+    df.withColumn(vocab.ROW_ID, F.monotonically_increasing_id()).write.mode("overwrite").parquet(path)
 
 
 def with_row_id(df: DataFrame) -> DataFrame:

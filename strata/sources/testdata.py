@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata import fixtures
 from strata.session import checkpoint_root
-from strata.sources.bronze import read_bronze, with_audit
+from strata.sources.bronze import read_bronze, with_audit, write_bronze
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 # pinned load instant for reproducible fixture runs
 FIXTURE_AS_OF = dt.datetime(2024, 12, 31, 0, 0, 0)
-_LAYOUT_VERSION = "v2"
+_LAYOUT_VERSION = "v3"
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -82,8 +82,7 @@ def fixture_bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
         raw = raw_frame(spark, sf_dir, entity)
         inputs = [table_path(sf_dir, t) for t in fixtures.RAW_INPUTS[entity]]
         files = output_files(spark, _input_bytes(spark, inputs))
-        (with_audit(raw, ",".join(inputs), FIXTURE_AS_OF)
-         .repartition(files).write.mode("overwrite").parquet(path))
+        write_bronze(with_audit(raw, ",".join(inputs), FIXTURE_AS_OF), path, files)
     return read_bronze(spark, path)
 
 
