@@ -8,9 +8,12 @@ vs. two passes, fact join placement).
 
 from __future__ import annotations
 
+import glob
 import json
 import os
+import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -19,7 +22,7 @@ from pyspark.sql import DataFrame, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from strata.operators import gold as G  # noqa: E402
-from strata.operators.dedup import keep_best  # noqa: E402
+from strata.operators.dedup import keep_best, rank_rows  # noqa: E402
 from strata.operators.entities import TRANSACTIONS  # noqa: E402
 from strata.operators.quarantine import rejected  # noqa: E402
 from strata.operators.silver import silver  # noqa: E402
@@ -57,10 +60,56 @@ def dedup_variants(raw: DataFrame) -> dict[str, DataFrame]:
             "dedup_row_number": row_number}
 
 
+def skewed(raw: DataFrame, hot) -> DataFrame:
+    """A third of the rows (by part key of the source line) moved onto one key value."""
+    hot_row = F.pmod(F.xxhash64(*[c for c in TRANSACTIONS.columns]), F.lit(3)) == 0
+    return raw.withColumn("transaction_id", F.when(hot_row, F.lit(hot)).otherwise(F.col("transaction_id")))
+
+
+def window_rank(raw: DataFrame) -> DataFrame:
+    e = TRANSACTIONS
+    w = Window.partitionBy(e.key).orderBy(e.priority().desc(), F.col(e.date).desc_nulls_last())
+    return raw.withColumn("_rn", F.row_number().over(w)).withColumn("_dup", F.col("_rn") > 1)
+
+
+def task_skew(log_dir: str) -> dict[str, dict[str, float]]:
+    """Per job group: the stage with the worst max/median task time, from the event log."""
+    stage_group, tasks = {}, {}
+    for path in glob.glob(f"{log_dir}/**/*", recursive=True):
+        if not os.path.isfile(path) or os.path.basename(path).startswith((".", "appstatus")):
+            continue
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in ev.get("Stage IDs", []):
+                        stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    info = ev["Task Info"]
+                    tasks.setdefault(ev["Stage ID"], []).append(
+                        (info["Finish Time"] - info["Launch Time"]) / 1000.0)
+    out: dict[str, dict[str, float]] = {}
+    for sid, durations in tasks.items():
+        group = stage_group.get(sid)
+        if not group or len(durations) < 2:
+            continue
+        mx, med = max(durations), statistics.median(durations)
+        ratio = mx / med if med > 0 else float("inf")
+        if group not in out or ratio > out[group]["max_over_median"]:
+            out[group] = {"max_task_s": round(mx, 3), "median_task_s": round(med, 3),
+                          "max_over_median": round(ratio, 1), "tasks": len(durations)}
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_spark(master=f"local[{cpus}]")
+    log_dir = os.environ.get("BENCH_EVENT_LOG") or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    spark = get_spark(master=f"local[{cpus}]", spark__eventLog__enabled="true",
+                      spark__eventLog__dir=log_dir, spark__eventLog__compress="false",
+                      spark__eventLog__rolling__enabled="false")
 
     t0 = time.perf_counter()
     bronze = testdata.fixture_bronzes(spark, sf_dir)
@@ -90,12 +139,22 @@ def main() -> None:
         best_of(lambda: G.fact_transactions_rowwise(tx, m)), 3)
     variants["ingest_manifest_first_run"] = round(run(REGISTRY["ingest_manifest"](spark, sf_dir)), 3)
 
+    sc = spark.sparkContext
+    for label, hot in (("hot_key", "T_HOT"), ("null_key", None)):
+        data = skewed(raw, hot)
+        for name, df in ((f"{label}_rank_rows", rank_rows(data, TRANSACTIONS)),
+                         (f"{label}_row_number_window", window_rank(data))):
+            sc.setJobGroup(name, name)
+            variants[name] = round(best_of(lambda d=df: d), 3)
+    sc.setJobGroup("other", "other")
+
     total = round(sum(times.values()), 3)
+    spark.stop()  # flushes the event log
+    skew = {k: v for k, v in task_skew(log_dir).items() if k.startswith(("hot_key", "null_key"))}
     print(json.dumps({"metric": "headline_total_wall", "value": total, "unit": "sec",
-                      "queries": times, "variants": variants,
+                      "queries": times, "variants": variants, "task_skew": skew,
                       "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
                       "cpus": int(cpus)}))
-    spark.stop()
 
 
 if __name__ == "__main__":
