@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata import vocab
@@ -58,6 +58,32 @@ def expectation_metrics(outputs: Mapping[str, DataFrame],
     return reduce(DataFrame.unionByName, parts)
 
 
+def observed(df: DataFrame, name: str, checks: Sequence[tuple[str, Column]] = ()) -> tuple[DataFrame, Observation]:
+    """Attach row count and expectation counters to a frame that is about to be written.
+
+    The counters are computed in the same pass as the write (``DataFrame.observe``) and
+    read from the returned ``Observation`` after the action; works for streams too.
+    """
+    obs = Observation(name)
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for check, cond in checks:
+        ok = F.coalesce(cond, F.lit(False))
+        aggs += [F.count_if(ok).alias(f"{check}__passed"), F.count_if(~ok).alias(f"{check}__failed")]
+    return df.observe(obs, *aggs), obs
+
+
+def run_log(spark, run_id: str, entries: Iterable[tuple[str, str, Mapping[str, int]]]) -> DataFrame:
+    """One row per (table, metric) of a run: run_id, layer, table_name, metric, value.
+
+    Built from the observed counters of each write (one small row per metric), so its
+    size is bounded by tables x expectations, not by the data.
+    """
+    rows = [(run_id, layer, table, metric, int(value))
+            for layer, table, metrics in entries for metric, value in sorted(metrics.items())]
+    return spark.createDataFrame(
+        rows, "run_id string, layer string, table_name string, metric string, value long")
+
+
 # ---------------------------------------------------------------- layer counts
 def records_by_layer(tables: Iterable[tuple[str, str, DataFrame]]) -> DataFrame:
     """(layer, table_name, ingested_at, record_count) for every table, UNION ALL.

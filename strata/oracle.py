@@ -254,7 +254,28 @@ _MASKED_USER = """user_id, '***MASKED***' AS full_name, '****' || right(document
   substring(email, 1, 1) || '*****' || substring(email, instr(email, '@')) AS email,
   '+' || substring(phone, 2, 3) || '*******' || right(phone, 3) AS phone"""
 
+def _run_log() -> str:
+    rows = [("Silver", "transactions_silver", "tx_silver"), ("Silver", "users_silver", "u_silver"),
+            ("Silver", "merchants_silver", "m_silver"), ("Silver", "quarantine", "quarantine"),
+            ("Gold", "dim_channel", "dim_channel"), ("Gold", "fact_transactions", "fact"),
+            ("Gold", "dim_merchant", "dim_merchant"), ("Gold", "dim_user", "dim_user"),
+            ("Gold", "dim_date", "dim_date")]
+    rows += [("Gold", f"mv_{t}", src) for _, t, src in rows if _ == "Gold"]
+    gaps = {"transactions": "tx_w", "users": "u_w", "merchants": "m_w"}
+    parts = [f"SELECT '{layer}' AS layer, '{table}' AS table_name, 'rows' AS metric, count(*) AS value FROM {src}"
+             for layer, table, src in rows]
+    parts += [f"SELECT 'Silver', 'unaccounted_{n}', 'rows', count(*) FROM {w} "
+              "WHERE NOT coalesce(valid, false) AND reject_reason IS NULL" for n, w in gaps.items()]
+    for table, name, cond, src in _EXPECTATIONS:
+        parts.append(f"SELECT 'Silver', '{table}', '{name}__passed', count_if(coalesce({cond}, false)) "
+                     f"FROM {src}_silver")
+        parts.append(f"SELECT 'Silver', '{table}', '{name}__failed', count_if(NOT coalesce({cond}, false)) "
+                     f"FROM {src}_silver")
+    return _q(" UNION ALL ".join(parts))
+
+
 ORACLE: dict[str, str] = {
+    "run_log": _run_log(),
     # sources
     "ingest_csv": _q(f"SELECT {TX_COLS} FROM tx_raw"),
     "ingest_pipe": _q(f"SELECT {U_COLS} FROM u_raw"),

@@ -7,12 +7,14 @@ cuts lineage: a lost executor re-reads files instead of recomputing the pipeline
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
 from strata.operators.dedup import rank_rows
 from strata.operators.entities import ENTITIES
+from strata.operators.observe import expectations, observed, run_log
 from strata.operators.quarantine import quarantine, rejected, unaccounted
 from strata.operators.silver import silver
 from strata.plans.medallion import SILVER_NAMES, Layers, build_gold
@@ -31,32 +33,48 @@ def materialize(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
 
 
 def publish(layers: Layers, root: str, as_of=None, writer_groups: Iterable[str] = (),
-            snapshots: bool = True) -> dict[str, DataFrame]:
+            snapshots: bool = True, run_id: str | None = None) -> dict[str, DataFrame]:
     """Write winners (staging), silver, gap reports, quarantine, gold and gold snapshots.
 
     The dedup winners are written once and re-read, so silver, quarantine and the gap
     report do not each recompute the dedup aggregate; gold reads the stored silver.
-    Returns table name -> stored DataFrame.
+    Row counts and silver expectations are observed during the writes themselves and
+    appended to ``observability/run_log``. Returns table name -> stored DataFrame.
     """
+    spark = next(iter(layers.bronze.values())).sparkSession
+    run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
+    checks = expectations()
+    log: list[tuple[str, str, dict]] = []
+
+    def write(df: DataFrame, layer: str, table: str, path: str) -> DataFrame:
+        df, obs = observed(df, f"{run_id}:{table}", checks.get(table, ()))
+        out = materialize(df, path)
+        log.append((layer, table, obs.get))
+        return out
+
     stored: dict[str, DataFrame] = {}
     winners = {n: materialize(w, f"{root}/staging/{n}_winners") for n, w in layers.winners.items()}
     silvers, rejects, gaps = {}, {}, {}
     for n, raw in layers.bronze.items():
         e = ENTITIES[n]
-        silvers[n] = stored[SILVER_NAMES[n]] = materialize(
-            silver(raw, e, as_of, winners=winners[n]), f"{root}/silver/{SILVER_NAMES[n]}")
+        silvers[n] = stored[SILVER_NAMES[n]] = write(
+            silver(raw, e, as_of, winners=winners[n]), "Silver", SILVER_NAMES[n],
+            f"{root}/silver/{SILVER_NAMES[n]}")
         rejects[n] = rejected(raw, e, as_of, ranked=rank_rows(raw, e, winners[n]))
-        gaps[n] = stored[f"unaccounted_{n}"] = materialize(
-            unaccounted(raw, e, winners[n]), f"{root}/silver/unaccounted_{n}")
-    stored["quarantine"] = materialize(
+        gaps[n] = stored[f"unaccounted_{n}"] = write(
+            unaccounted(raw, e, winners[n]), "Silver", f"unaccounted_{n}",
+            f"{root}/silver/unaccounted_{n}")
+    stored["quarantine"] = write(
         quarantine([rejects[n] for n in QUARANTINE_ORDER if n in rejects], as_of),
-        f"{root}/silver/quarantine")
+        "Silver", "quarantine", f"{root}/silver/quarantine")
     out = build_gold(Layers(bronze=dict(layers.bronze), winners=winners, silver=silvers,
                             rejected=rejects, quarantine=stored["quarantine"], unaccounted=gaps),
                      as_of, writer_groups)
     for name, df in out.gold.items():
-        stored[name] = materialize(df, f"{root}/gold/{name}")
+        stored[name] = write(df, "Gold", name, f"{root}/gold/{name}")
     if snapshots:
         for name in GOLD_SNAPSHOTS:
-            stored[f"mv_{name}"] = materialize(stored[name], f"{root}/gold/mv_{name}")
+            stored[f"mv_{name}"] = write(stored[name], "Gold", f"mv_{name}", f"{root}/gold/mv_{name}")
+    run_log(spark, run_id, log).write.mode("append").parquet(f"{root}/observability/run_log")
+    stored["run_log"] = spark.read.parquet(f"{root}/observability/run_log")
     return stored

@@ -308,6 +308,19 @@ for _name in ("fact_transactions", "dim_merchant", "dim_user", "dim_channel", "d
     REGISTRY[f"mv_{_name}"] = (lambda n: lambda spark, sf_dir: _snapshot(spark, sf_dir, n))(_name)
 
 
+@query("run_log")
+def q_run_log(spark, sf_dir):
+    """A full batch publish of every layer; its run log (observed row and expectation counts)."""
+    import uuid
+
+    from strata.plans.publish import publish
+
+    run_id = uuid.uuid4().hex
+    root = f"{checkpoint_root(spark)}/strata-lake/{testdata._bronze_dir(spark, sf_dir).rsplit('/', 1)[-1]}"
+    stored = publish(layers(spark, sf_dir), root, AS_OF, run_id=run_id)
+    return stored["run_log"].filter(F.col("run_id") == run_id).drop("run_id")
+
+
 # ---------------------------------------------------------------- observability
 def records(spark, sf_dir) -> DataFrame:
     return O.records_by_layer(layer_tables(layers(spark, sf_dir)))

@@ -22,3 +22,15 @@ def test_publish_equals_lazy_layers(spark, scratch):
     for name, df in lazy.gold.items():
         assert rows(stored[name]) == rows(df)
         assert rows(stored[f"mv_{name}"]) == rows(df)
+
+
+def test_run_log_records_observed_counts(spark, scratch):
+    from pyspark.sql import functions as F
+
+    stored = publish(build(fixture_bronzes(spark, SF_SMALL), AS_OF), scratch, AS_OF, run_id="r1")
+    log = {(r.table_name, r.metric): r.value for r in stored["run_log"].filter(F.col("run_id") == "r1").collect()}
+    for name in ("transactions_silver", "users_silver", "merchants_silver", "quarantine", "fact_transactions"):
+        assert log[(name, "rows")] == stored[name].count()
+    tx = stored["transactions_silver"]
+    assert log[("transactions_silver", "date_parsed__failed")] == tx.filter("transaction_date IS NULL").count()
+    assert log[("users_silver", "valid_email__failed")] == 0
