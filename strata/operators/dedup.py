@@ -63,6 +63,9 @@ def rank_rows(df: DataFrame, entity: Entity, winners: DataFrame | None = None) -
                          "read bronze with strata.sources.bronze.read_bronze or with_row_id")
     key = entity.key
     winners = keep_best(df, entity) if winners is None else winners
-    others = (df.join(winners.select(vocab.ROW_ID), vocab.ROW_ID, "left_anti")
-                .withColumn(DUP, F.when(F.col(key).isNotNull(), F.lit(True))))
-    return others.unionByName(winners.withColumn(DUP, F.lit(False)))
+    # NULL keys never match a winner: they bypass the shuffle (IS NULL is pushed to the scan)
+    null_keys = df.filter(F.col(key).isNull()).withColumn(DUP, F.lit(None).cast("boolean"))
+    duplicates = (df.filter(F.col(key).isNotNull())
+                    .join(winners.select(vocab.ROW_ID), vocab.ROW_ID, "left_anti")
+                    .withColumn(DUP, F.lit(True)))
+    return null_keys.unionByName(duplicates).unionByName(winners.withColumn(DUP, F.lit(False)))

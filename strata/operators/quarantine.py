@@ -19,7 +19,7 @@ from strata import vocab
 from strata.functions.stamps import load_date, load_timestamp
 from strata.operators.dedup import keep_best, rank_rows
 from strata.operators.entities import DUP, MERCHANTS, TRANSACTIONS, USERS, Entity
-from strata.operators.rules import REJECT, first_match
+from strata.operators.rules import REJECT, any_fires, first_match
 from strata.operators.silver import silver
 from strata.sources.bronze import data_columns
 
@@ -31,6 +31,16 @@ def with_reject(ranked: DataFrame, entity: Entity) -> DataFrame:
     return ranked.withColumn(REJECT, first_match(entity.rules()))
 
 
+def only_rejected(ranked: DataFrame, entity: Entity) -> DataFrame:
+    """Rows some rule rejects, with their ``_reject`` struct.
+
+    Filtering on the plain OR of the predicates (TRUE exactly when ``first_match`` is not
+    NULL) lets the reason struct be built for rejected rows only.
+    """
+    rules = entity.rules()
+    return ranked.filter(any_fires(rules)).withColumn(REJECT, first_match(rules))
+
+
 def rejected(raw: DataFrame, entity: Entity, as_of=None, ranked: DataFrame | None = None) -> DataFrame:
     """Rejected rows of one source in quarantine shape.
 
@@ -39,8 +49,7 @@ def rejected(raw: DataFrame, entity: Entity, as_of=None, ranked: DataFrame | Non
     """
     ranked = rank_rows(raw, entity) if ranked is None else ranked
     record = [c for c in data_columns(raw)]
-    return (with_reject(ranked, entity)
-            .filter(F.col(REJECT).isNotNull())
+    return (only_rejected(ranked, entity)
             .select(F.lit(entity.name).alias("source_name"),
                     F.col(REJECT).getField("reject_reason").alias("reject_reason"),
                     F.col(REJECT).getField("error_column").alias("error_column"),
