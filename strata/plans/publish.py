@@ -78,3 +78,12 @@ def publish(layers: Layers, root: str, as_of=None, writer_groups: Iterable[str]
     run_log(spark, run_id, log).write.mode("append").parquet(f"{root}/observability/run_log")
     stored["run_log"] = spark.read.parquet(f"{root}/observability/run_log")
     return stored
+
+
+def register_views(stored: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """Expose published tables to SQL as temporary views (``<prefix><table name>``)."""
+    names = []
+    for name, df in stored.items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names

@@ -22,6 +22,15 @@ def test_publish_equals_lazy_layers(spark, scratch):
     for name, df in lazy.gold.items():
         assert rows(stored[name]) == rows(df)
         assert rows(stored[f"mv_{name}"]) == rows(df)
+    from strata.functions.masks import register_sql_functions
+    from strata.plans.publish import register_views
+
+    register_views(stored, "lake_")
+    register_sql_functions(spark, ("riesgo",))
+    n = spark.sql("SELECT count(*) FROM lake_users_silver WHERE users_rls(segment)").first()[0]
+    assert n == lazy.silver["users"].filter("segment IN ('premium', 'estandar')").count()
+    total = spark.sql("SELECT sum(transaction_count) FROM lake_fact_transactions").first()[0]
+    assert total == lazy.silver["transactions"].count()
 
 
 def test_run_log_records_observed_counts(spark, scratch):
