@@ -1,14 +1,16 @@
-"""The whole medallion pipeline as one set of lazily composed DataFrames.
+"""The whole medallion pipeline as lazily composed DataFrames.
 
 Nothing here executes: callers either return a frame (queries) or write the layers
-(``strata.plans.publish.publish``). Shared sub-plans (the dedup aggregates) are the
-same DataFrame objects, so one job that touches several layers reuses their shuffles.
+(``strata.plans.publish.publish``). Each table is built on first access and cached, so a
+query that needs one table neither reads nor analyzes the others, and tables that share
+a sub-plan (the dedup winners) use the same DataFrame object, letting one job reuse its
+shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -20,47 +22,69 @@ from strata.operators.silver import silver
 
 SILVER_NAMES = {"transactions": "transactions_silver", "users": "users_silver",
                 "merchants": "merchants_silver"}
+QUARANTINE_ORDER = ("transactions", "merchants", "users")
+
+
+class LazyMap(Mapping):
+    """Read-only mapping whose values are built on first access, then kept."""
+
+    def __init__(self, factories: Mapping[str, Callable[[], DataFrame]]):
+        self._factories = dict(factories)
+        self._values: dict[str, DataFrame] = {}
+
+    def __getitem__(self, key: str) -> DataFrame:
+        if key not in self._values:
+            self._values[key] = self._factories[key]()
+        return self._values[key]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._factories)
+
+    def __len__(self) -> int:
+        return len(self._factories)
 
 
-@dataclass
 class Layers:
-    bronze: dict[str, DataFrame]
-    winners: dict[str, DataFrame]
-    silver: dict[str, DataFrame]
-    rejected: dict[str, DataFrame]
-    quarantine: DataFrame
-    unaccounted: dict[str, DataFrame]
-    gold: dict[str, DataFrame] = field(default_factory=dict)
-
-
-def build_silver(bronze: Mapping[str, DataFrame], as_of=None) -> Layers:
-    winners = {n: keep_best(df, ENTITIES[n]) for n, df in bronze.items()}
-    silvers = {n: silver(df, ENTITIES[n], as_of, winners=winners[n]) for n, df in bronze.items()}
-    rejects = {n: rejected(df, ENTITIES[n], as_of, ranked=rank_rows(df, ENTITIES[n], winners[n]))
-               for n, df in bronze.items()}
-    order = [n for n in ("transactions", "merchants", "users") if n in rejects]
-    return Layers(
-        bronze=dict(bronze), winners=winners, silver=silvers, rejected=rejects,
-        quarantine=quarantine([rejects[n] for n in order], as_of),
-        unaccounted={n: unaccounted(df, ENTITIES[n], winners[n]) for n, df in bronze.items()},
-    )
-
-
-def build_gold(layers: Layers, as_of=None, writer_groups: Iterable[str] = ()) -> Layers:
-    tx, merchants, users = (layers.silver[n] for n in ("transactions", "merchants", "users"))
-    channels = G.dim_channel(tx, as_of)
-    layers.gold = {
-        "dim_channel": channels,
-        "fact_transactions": G.fact_transactions(tx, merchants, None, as_of),
-        "dim_merchant": G.dim_merchant(merchants, as_of),
-        "dim_user": G.dim_user(users, writer_groups, as_of),
-        "dim_date": G.dim_date(tx, as_of),
-    }
-    return layers
+    """Bronze -> winners -> silver / rejects / gap -> quarantine -> gold, all lazy.
+
+    ``winners`` or ``silver`` may be given (for example stored tables re-read by
+    ``publish``); everything downstream is then built from them.
+    """
+
+    def __init__(self, bronze: Mapping[str, DataFrame], as_of=None,
+                 writer_groups: Iterable[str] = (), winners: Mapping[str, DataFrame] | None = None,
+                 silver_tables: Mapping[str, DataFrame] | None = None):
+        self.bronze = bronze
+        self.as_of = as_of
+        self.writer_groups = tuple(writer_groups)
+        names = list(bronze)
+        self.winners = winners if winners is not None else LazyMap(
+            {n: (lambda n=n: keep_best(self.bronze[n], ENTITIES[n])) for n in names})
+        self.silver = silver_tables if silver_tables is not None else LazyMap(
+            {n: (lambda n=n: silver(self.bronze[n], ENTITIES[n], as_of, winners=self.winners[n]))
+             for n in names})
+        self.rejected = LazyMap(
+            {n: (lambda n=n: rejected(self.bronze[n], ENTITIES[n], as_of,
+                                      ranked=rank_rows(self.bronze[n], ENTITIES[n], self.winners[n])))
+             for n in names})
+        self.unaccounted = LazyMap(
+            {n: (lambda n=n: unaccounted(self.bronze[n], ENTITIES[n], self.winners[n])) for n in names})
+        self.gold = LazyMap({
+            "dim_channel": lambda: G.dim_channel(self.silver["transactions"], as_of),
+            "fact_transactions": lambda: G.fact_transactions(
+                self.silver["transactions"], self.silver["merchants"], None, as_of),
+            "dim_merchant": lambda: G.dim_merchant(self.silver["merchants"], as_of),
+            "dim_user": lambda: G.dim_user(self.silver["users"], self.writer_groups, as_of),
+            "dim_date": lambda: G.dim_date(self.silver["transactions"], as_of),
+        })
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        return quarantine([self.rejected[n] for n in QUARANTINE_ORDER if n in self.rejected], self.as_of)
 
 
 def build(bronze: Mapping[str, DataFrame], as_of=None, writer_groups: Iterable[str] = ()) -> Layers:
-    return build_gold(build_silver(bronze, as_of), as_of, writer_groups)
+    return Layers(bronze, as_of, writer_groups)
 
 
 def layer_tables(layers: Layers) -> list[tuple[str, str, DataFrame]]:

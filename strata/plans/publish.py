@@ -12,15 +12,12 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
-from strata.operators.dedup import rank_rows
 from strata.operators.entities import ENTITIES
 from strata.operators.observe import expectations, observed, run_log
-from strata.operators.quarantine import quarantine, rejected, unaccounted
 from strata.operators.silver import silver
-from strata.plans.medallion import SILVER_NAMES, Layers, build_gold
+from strata.plans.medallion import SILVER_NAMES, Layers
 
 GOLD_SNAPSHOTS = ("fact_transactions", "dim_merchant", "dim_user", "dim_channel", "dim_date")
-QUARANTINE_ORDER = ("transactions", "merchants", "users")
 
 
 def materialize(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -53,23 +50,17 @@ def publish(layers: Layers, root: str, as_of=None, writer_groups: Iterable[str]
         return out
 
     stored: dict[str, DataFrame] = {}
-    winners = {n: materialize(w, f"{root}/staging/{n}_winners") for n, w in layers.winners.items()}
-    silvers, rejects, gaps = {}, {}, {}
+    winners = {n: materialize(layers.winners[n], f"{root}/staging/{n}_winners") for n in layers.bronze}
+    silvers = {}
     for n, raw in layers.bronze.items():
-        e = ENTITIES[n]
         silvers[n] = stored[SILVER_NAMES[n]] = write(
-            silver(raw, e, as_of, winners=winners[n]), "Silver", SILVER_NAMES[n],
+            silver(raw, ENTITIES[n], as_of, winners=winners[n]), "Silver", SILVER_NAMES[n],
             f"{root}/silver/{SILVER_NAMES[n]}")
-        rejects[n] = rejected(raw, e, as_of, ranked=rank_rows(raw, e, winners[n]))
-        gaps[n] = stored[f"unaccounted_{n}"] = write(
-            unaccounted(raw, e, winners[n]), "Silver", f"unaccounted_{n}",
-            f"{root}/silver/unaccounted_{n}")
-    stored["quarantine"] = write(
-        quarantine([rejects[n] for n in QUARANTINE_ORDER if n in rejects], as_of),
-        "Silver", "quarantine", f"{root}/silver/quarantine")
-    out = build_gold(Layers(bronze=dict(layers.bronze), winners=winners, silver=silvers,
-                            rejected=rejects, quarantine=stored["quarantine"], unaccounted=gaps),
-                     as_of, writer_groups)
+    out = Layers(layers.bronze, as_of, writer_groups, winners=winners, silver_tables=silvers)
+    for n in layers.bronze:
+        stored[f"unaccounted_{n}"] = write(out.unaccounted[n], "Silver", f"unaccounted_{n}",
+                                           f"{root}/silver/unaccounted_{n}")
+    stored["quarantine"] = write(out.quarantine, "Silver", "quarantine", f"{root}/silver/quarantine")
     for name, df in out.gold.items():
         stored[name] = write(df, "Gold", name, f"{root}/gold/{name}")
     if snapshots:

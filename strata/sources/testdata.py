@@ -86,8 +86,11 @@ def fixture_bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return read_bronze(spark, path)
 
 
-def fixture_bronzes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {e: fixture_bronze(spark, sf_dir, e) for e in fixtures.RAW_INPUTS}
+def fixture_bronzes(spark: SparkSession, sf_dir: str):
+    """entity -> bronze DataFrame, each written/read only when first used."""
+    from strata.plans.medallion import LazyMap
+
+    return LazyMap({e: (lambda e=e: fixture_bronze(spark, sf_dir, e)) for e in fixtures.RAW_INPUTS})
 
 
 # ---------------------------------------------------------------- landing files
