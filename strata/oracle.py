@@ -126,10 +126,12 @@ M_ERRCOL = f"""CASE WHEN merchant_id IS NULL OR rn > 1 THEN 'merchant_id'
 
 _D = "DESC NULLS LAST"
 
-BASE = f"""
+_RAW = f"""
 tx_raw AS ({fixtures.raw_sql('transactions', 'duckdb')}),
 u_raw AS ({fixtures.raw_sql('users', 'duckdb')}),
-m_raw AS ({fixtures.raw_sql('merchants', 'duckdb')}),
+m_raw AS ({fixtures.raw_sql('merchants', 'duckdb')}),"""
+
+_DERIVED = f"""
 tx_r AS (
   SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY
       CASE WHEN status = 'aprobado' THEN 3 WHEN status = 'pendiente' THEN 2 ELSE 1 END DESC,
@@ -232,11 +234,20 @@ details AS (
   FROM quarantine GROUP BY ALL)
 """
 
+BASE = _RAW + _DERIVED
+
 
 def _q(select: str) -> str:
     return f"WITH {BASE}\n{select}"
 
 
+def over_tables(name: str, tx: str = "tx_in", users: str = "u_in", merchants: str = "m_in") -> str:
+    """The oracle of query ``name`` over given raw tables instead of the fixtures."""
+    raw = (f"tx_raw AS (SELECT * FROM {tx}),\nu_raw AS (SELECT * FROM {users}),\n"
+           f"m_raw AS (SELECT * FROM {merchants}),")
+    return ORACLE[name].replace(f"WITH {BASE}", f"WITH {raw}{_DERIVED}", 1)
+
+
 def _expect(table: str, name: str, cond: str, src: str, scope: str) -> str:
     return (f"SELECT '{table}' AS table_name, '{name}' AS expectation, '{scope}' AS scope, "
             f"count_if(coalesce({cond}, false)) AS passed, "

@@ -54,10 +54,12 @@ def with_row_id(df: DataFrame) -> DataFrame:
     relations: prefer ``read_bronze``)."""
     if vocab.ROW_ID in df.columns:
         return df
-    try:
-        return df.select("*", row_id().alias(vocab.ROW_ID))
-    except AnalysisException:
-        return df.withColumn(vocab.ROW_ID, F.monotonically_increasing_id())
+    if df.inputFiles():
+        try:
+            return df.select("*", row_id().alias(vocab.ROW_ID))
+        except AnalysisException:
+            pass
+    return df.withColumn(vocab.ROW_ID, F.monotonically_increasing_id())
 
 
 def with_audit(df: DataFrame, source_file: Column | str | None = None,
