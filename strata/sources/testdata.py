@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # pinned load instant for reproducible fixture runs
 FIXTURE_AS_OF = dt.datetime(2024, 12, 31, 0, 0, 0)
 _LAYOUT_VERSION = "v3"
+_WRITE_LOCK = threading.Lock()  # one writer per fixture when queries run concurrently
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -78,11 +80,12 @@ def output_files(spark: SparkSession, input_bytes: int, target_bytes: int = 64 <
 def fixture_bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """Bronze table of one entity for ``sf_dir``, written once, then read with row ids."""
     path = f"{_bronze_dir(spark, sf_dir)}/{entity}"
-    if not _exists(spark, f"{path}/_SUCCESS"):
-        raw = raw_frame(spark, sf_dir, entity)
-        inputs = [table_path(sf_dir, t) for t in fixtures.RAW_INPUTS[entity]]
-        files = output_files(spark, _input_bytes(spark, inputs))
-        write_bronze(with_audit(raw, ",".join(inputs), FIXTURE_AS_OF), path, files)
+    with _WRITE_LOCK:
+        if not _exists(spark, f"{path}/_SUCCESS"):
+            raw = raw_frame(spark, sf_dir, entity)
+            inputs = [table_path(sf_dir, t) for t in fixtures.RAW_INPUTS[entity]]
+            files = output_files(spark, _input_bytes(spark, inputs))
+            write_bronze(with_audit(raw, ",".join(inputs), FIXTURE_AS_OF), path, files)
     return read_bronze(spark, path)
 
 
@@ -147,10 +150,11 @@ def fixture_ingested(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     from strata.streaming.ingest import ingest_manifest
 
     root = landing_root(spark, sf_dir)
-    if not _exists(spark, f"{root}/landing/_WRITTEN"):
-        write_fixture_landing(spark, sf_dir, root)
-        spark.createDataFrame([("ok",)], "v string").coalesce(1).write.mode("overwrite").text(
-            f"{root}/landing/_WRITTEN")
     schemas = {"transactions": vocab.TRANSACTIONS_SCHEMA, "users": vocab.USERS_SCHEMA,
                "merchants": vocab.MERCHANTS_SCHEMA}
-    return ingest_manifest(spark, fixture_manifest(root), f"{root}/bronze", schemas, FIXTURE_AS_OF)
+    with _WRITE_LOCK:
+        if not _exists(spark, f"{root}/landing/_WRITTEN"):
+            write_fixture_landing(spark, sf_dir, root)
+            spark.createDataFrame([("ok",)], "v string").coalesce(1).write.mode("overwrite").text(
+                f"{root}/landing/_WRITTEN")
+        return ingest_manifest(spark, fixture_manifest(root), f"{root}/bronze", schemas, FIXTURE_AS_OF)
