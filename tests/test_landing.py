@@ -78,3 +78,23 @@ def test_manifest_and_schema_files(scratch):
     schema = load_schema(f"{d}/schema.json")
     assert [f.name for f in schema.fields] == ["a", "b", "c"]
     assert all(f.dataType.simpleString() == "string" and f.nullable for f in schema.fields)
+
+
+def test_ingest_partitioned_by_declared_column(spark, scratch):
+    """The manifest's partition column, applied on request, gives one folder per value."""
+    from strata.sources.testdata import fixture_manifest, raw_frame, write_fixture_landing
+    from strata.streaming.ingest import start_ingest
+    from tests.conftest import SF_SMALL
+    from tests.helpers import multiset
+
+    write_fixture_landing(spark, SF_SMALL, f"{scratch}/src")
+    users = [s for s in fixture_manifest(f"{scratch}/src") if s.source_name == "users"][0]
+    q = start_ingest(spark, users, f"{scratch}/bronze_users", vocab.USERS_SCHEMA,
+                     f"{scratch}/ckpt", partition_by=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    folders = {p.split("=")[0] for p in os.listdir(local(scratch) + "/bronze_users") if "=" in p}
+    assert folders == {"country"}
+    got = spark.read.parquet(f"{scratch}/bronze_users").select(*vocab.USER_COLUMNS)
+    want = raw_frame(spark, SF_SMALL, "users")
+    assert multiset(got.columns, got.collect()) == multiset(want.columns, want.collect())
