@@ -37,7 +37,8 @@ def mask_document_id(c="document_id", groups: Iterable[str] = ()) -> Column:
 def mask_email(c="email", groups: Iterable[str] = ()) -> Column:
     """First character + '*****' + the part from '@'.
 
-    A value without '@' is returned whole (substring from position 0), as specified.
+    Without '@' the whole value follows the mask (substring from position 0), as in the
+    original definition.
     """
     c = _col(c)
     if _privileged(groups):

@@ -47,35 +47,33 @@ def write_csv(df: DataFrame, path: str, delimiter: str = ",", header: bool = Tru
        .csv(path))
 
 
-def _json_array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per partition: wrap the JSON records of the partition into one JSON array.
-
-    Streams batch by batch holding back only the last record, so memory stays at one
-    Arrow batch whatever the partition size.
-    """
-    pending: str | None = None
-    first = True
-    for pdf in batches:
-        out = []
-        for rec in pdf["j"]:
-            if pending is not None:
-                out.append(("[" if first else "") + pending + ",")
-                first = False
-            pending = rec
-        if out:
-            yield pd.DataFrame({"value": out})
-    if pending is not None:
-        yield pd.DataFrame({"value": [("[" if first else "") + pending + "]"]})
-
-
 def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Multiline-JSON landing files: each output file is one JSON array of records.
 
     Records are encoded JVM-side (``to_json``); a per-partition Pandas pass only adds
     the brackets and commas, so every partition becomes one array file.
     """
+    def json_array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Defined here so it is shipped to the workers by value (workers need not
+        # import this package). Streams batch by batch, holding back only the last
+        # record, so memory stays at one Arrow batch whatever the partition size.
+        import pandas as pd
+
+        pending, first = None, True
+        for pdf in batches:
+            out = []
+            for rec in pdf["j"]:
+                if pending is not None:
+                    out.append(("[" if first else "") + pending + ",")
+                    first = False
+                pending = rec
+            if out:
+                yield pd.DataFrame({"value": out})
+        if pending is not None:
+            yield pd.DataFrame({"value": [("[" if first else "") + pending + "]"]})
+
     records = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("j"))
-    records.mapInPandas(_json_array_lines, "value string").write.mode(mode).text(path)
+    records.mapInPandas(json_array_lines, "value string").write.mode(mode).text(path)
 
 
 def publish_files(spark: SparkSession, staged_dir: str, landing_dir: str, prefix: str = "") -> int:
