@@ -23,16 +23,31 @@ def row_id() -> Column:
                     F.col("_metadata.row_index").alias("row"))
 
 
+def _flat(spark: SparkSession, path: str) -> bool:
+    """True when the table keeps its data files directly in ``path`` (no partition
+    folders), so file *names* are unique within it. One listing, metadata only."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return not any(st.isDirectory() and not st.getPath().getName().startswith(("_", "."))
+                   for st in fs.listStatus(root))
+
+
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """Bronze Parquet table with its stable ``_row_id``.
 
-    A table written whole by ``write_bronze`` stores a compact id (one long); any other
-    bronze table (for example one appended by the ingest stream) gets the exact
-    (file path, row index) pair from ``_metadata``.
+    A table written whole by ``write_bronze`` stores a compact id (one long). Any other
+    bronze table (for example one appended by the ingest stream) gets an exact id from
+    ``_metadata``: (file name, row index) when the table is flat, where names are
+    unique, else (file path, row index).
     """
     df = spark.read.parquet(path)
     if vocab.ROW_ID in df.columns:
         return df
+    if _flat(spark, path):
+        rid = F.struct(F.col("_metadata.file_name").alias("file"),
+                       F.col("_metadata.row_index").alias("row"))
+        return df.select("*", rid.alias(vocab.ROW_ID))
     return df.select("*", row_id().alias(vocab.ROW_ID))
 
 

@@ -98,3 +98,21 @@ def test_ingest_partitioned_by_declared_column(spark, scratch):
     got = spark.read.parquet(f"{scratch}/bronze_users").select(*vocab.USER_COLUMNS)
     want = raw_frame(spark, SF_SMALL, "users")
     assert multiset(got.columns, got.collect()) == multiset(want.columns, want.collect())
+
+
+def test_bronze_row_ids_unique_flat_and_partitioned(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from strata.sources.bronze import read_bronze
+
+    df = spark.range(0, 500).select(F.col("id").cast("string").alias("k"),
+                                    (F.col("id") % 3).cast("string").alias("p"))
+    for _ in range(2):                       # two appends: same file row indexes, new names
+        df.repartition(4).write.mode("append").parquet(f"{scratch}/flat")
+        df.repartition(4).write.mode("append").partitionBy("p").parquet(f"{scratch}/parted")
+    for name in ("flat", "parted"):
+        b = read_bronze(spark, f"{scratch}/{name}")
+        assert b.select(vocab.ROW_ID).distinct().count() == b.count() == 1000
+    flat_id = read_bronze(spark, f"{scratch}/flat").select(f"{vocab.ROW_ID}.file").first()[0]
+    parted_id = read_bronze(spark, f"{scratch}/parted").select(f"{vocab.ROW_ID}.file").first()[0]
+    assert "/" not in flat_id and "p=" in parted_id   # name only when flat, full path otherwise
