@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # local mode runs everything in the driver JVM; the 1g default heap thrashes GC
+    "spark.driver.memory": os.environ.get("STRATA_DRIVER_MEMORY", "8g"),
 }
 
 
