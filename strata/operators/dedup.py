@@ -11,8 +11,8 @@ Scale notes
   shuffle. No task ever holds a whole group.
 * ``rank_rows`` marks duplicates with an anti join on the *row id* of the winners,
   not on the business key. Row ids are unique, so that shuffle is uniform whatever
-  the key distribution; a hot key never lands in one task. A NULL key (the usual
-  hot group) never joins and needs no special branch.
+  the key distribution; a hot key never lands in one task. NULL-key rows (the usual
+  hot group) cannot match a winner and skip that shuffle altogether.
 """
 
 from __future__ import annotations
