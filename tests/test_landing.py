@@ -116,3 +116,18 @@ def test_bronze_row_ids_unique_flat_and_partitioned(spark, scratch):
     flat_id = read_bronze(spark, f"{scratch}/flat").select(f"{vocab.ROW_ID}.file").first()[0]
     parted_id = read_bronze(spark, f"{scratch}/parted").select(f"{vocab.ROW_ID}.file").first()[0]
     assert "/" not in flat_id and "p=" in parted_id   # name only when flat, full path otherwise
+
+
+def test_json_arrays_bounded_by_record_count(spark, scratch):
+    import json
+
+    from strata.sources.landing import write_json_arrays
+
+    df = spark.range(0, 1000).selectExpr("CAST(id AS STRING) AS a", "'x' AS b", "CAST(NULL AS STRING) AS c")
+    write_json_arrays(df, f"{scratch}/arrays", max_records=128)
+    d = local(scratch) + "/arrays"
+    sizes = [len(json.load(open(os.path.join(d, f)))) for f in os.listdir(d)
+             if f.startswith("part-") and os.path.getsize(os.path.join(d, f)) > 0]
+    assert sum(sizes) == 1000 and max(sizes) <= 128
+    back = read_landing(spark, spec(d, "json", multiline=True), SCHEMA)
+    assert back.count() == 1000 and back.filter("c IS NOT NULL").count() == 0
