@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strata.llm.common import remainder_is
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -40,3 +43,34 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "tokens")
     manifest = write_token_files(table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"))
     return token_digests(read_token_files(spark, folder, manifest))
+
+
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.quality import fit_quality, learnable, score_quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, learnable(table(spark, sf_dir, "labels"), 4, 2))
+    scored = score_quality(docs, model)
+    return scored.select("doc_id", remainder_is(F.col("doc_id"), 4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.langid import fit_languages, identify_language
+    from strata.llm.quality import learnable
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = fit_languages(learnable(docs, 5, 0))
+    return identify_language(docs.drop("lang"), model).select("doc_id", remainder_is(F.col("doc_id"), 5, 0).alias("held_out"), "found.lang_pred", "found.score")
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.quality import learnable
+    from strata.llm.toxicity import fit_toxicity, score_toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, learnable(table(spark, sf_dir, "labels"), 3, 1))
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", remainder_is(F.col("doc_id"), 3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
