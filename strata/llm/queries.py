@@ -74,3 +74,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_toxicity(docs, learnable(table(spark, sf_dir, "labels"), 3, 1))
     scored = score_toxicity(docs, model)
     return scored.select("doc_id", remainder_is(F.col("doc_id"), 3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.embed_dedup import embedding_groups
+
+    return embedding_groups(table(spark, sf_dir, "embeddings"))
