@@ -9,6 +9,7 @@ beside a space (where pieces can span several spaces) are encoded whole by the l
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -21,9 +22,9 @@ _ENCODERS: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """Encodes batches of texts; holds at most ``max_words`` words in its cache."""
+    """Encodes batches of texts; holds at most ``max_words`` words in its cache (about 30 bytes each)."""
 
-    def __init__(self, path: str, max_words: int = 700_000):
+    def __init__(self, path: str, max_words: int = 3_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -39,27 +40,28 @@ class Encoder:
         return _ENCODERS[path]
 
     def _clear(self) -> None:
-        self.index: dict[int, int] = {}
+        """The cache: sorted word hashes, each word's place and length in ``flat``, and ``flat``."""
+        self.keys = np.zeros(0, np.uint64)
+        self.place = np.zeros(0, np.uint32)
+        self.length = np.zeros(0, np.uint32)
         self.flat = np.zeros(1 << 16, np.uint32)
-        self.offsets = np.zeros(1 << 14, np.int64)
         self.used = 0
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [self.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
-    def _add(self, keys: list[int], words: list[str]) -> None:
+    def _add(self, keys: np.ndarray, words: list[str]) -> None:
         pieces = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        n, size = len(self.index), sum(map(len, pieces))
-        while n + len(pieces) + 1 > len(self.offsets):
-            self.offsets = np.concatenate((self.offsets, np.zeros_like(self.offsets)))
-        while self.used + size > len(self.flat):
+        size = np.fromiter(map(len, pieces), np.uint32, len(pieces))
+        ids = np.fromiter(chain.from_iterable(pieces), np.uint32, int(size.sum()))
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        for key, ids in zip(keys, pieces, strict=True):
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.index[key] = n
-            n += 1
-            self.offsets[n] = self.used
+        self.flat[self.used : self.used + len(ids)] = ids
+        place = (self.used + np.cumsum(size) - size).astype(np.uint32)
+        self.used += len(ids)
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys, self.place, self.length = (np.insert(old, at, new[order]) for old, new in ((self.keys, keys), (self.place, place), (self.length, size)))
 
     def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and lengths of texts in which every space separates two words."""
@@ -74,17 +76,20 @@ class Encoder:
         keys = span_hashes(codes, starts, ends)
         keys[first] ^= np.uint64(0x5851F42D4C957F2D)  # a text's first word has no space in front
         place, distinct = pd.factorize(keys)
-        distinct = distinct.tolist()
-        if len(self.index) + len(distinct) > self.max_words:
+        if len(self.keys) + len(distinct) > self.max_words:
             self._clear()
-        new = [k for k, key in enumerate(distinct) if key not in self.index]
-        if new:
-            where = np.full(len(distinct), -1, np.int64)
-            where[place[::-1]] = np.arange(len(place) - 1, -1, -1)
-            at = where[new]
-            self._add([distinct[k] for k in new], [("" if first[w] else " ") + raw[starts[w] : ends[w]].decode("utf-8") for w in at])
-        slot = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))[place]
-        begin, size = self.offsets[slot], self.offsets[slot + 1] - self.offsets[slot]
+        slot = np.searchsorted(self.keys, distinct)
+        known = np.zeros(len(distinct), bool)
+        inside = slot < len(self.keys)
+        known[inside] = self.keys[slot[inside]] == distinct[inside]
+        if not known.all():
+            where = np.empty(len(distinct), np.int64)
+            where[place[::-1]] = np.arange(len(place) - 1, -1, -1)  # the first occurrence of each word
+            new = np.flatnonzero(~known)
+            self._add(distinct[new], [("" if first[w] else " ") + raw[starts[w] : ends[w]].decode("utf-8") for w in where[new].tolist()])
+            slot = np.searchsorted(self.keys, distinct)
+        size = self.length[slot][place].astype(np.int64)
+        begin = self.place[slot][place].astype(np.int64)
         done = np.cumsum(size)
         ids = self.flat[np.repeat(begin - (done - size), size) + np.arange(done[-1])]
         ends_at = np.cumsum(words_in) - 1
