@@ -81,3 +81,10 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.embed_dedup import embedding_groups
 
     return embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.line_dedup import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
