@@ -88,3 +88,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.line_dedup import dedup_lines
 
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.decontaminate import mark_contaminated
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mark_contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "contaminated", "items")
