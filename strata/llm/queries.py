@@ -96,3 +96,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return mark_contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "contaminated", "items")
+
+
+@query
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.minhash import duplicate_classes
+
+    return duplicate_classes(table(spark, sf_dir, "documents"))
