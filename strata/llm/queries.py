@@ -103,3 +103,10 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.minhash import duplicate_classes
 
     return duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.pii import personal_spans, span_digests
+
+    return span_digests(personal_spans(table(spark, sf_dir, "documents")))
