@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Words, bounded_batches, byte_slices, free_name, span_hashes
+from strata.llm.common import Words, bounded_batches, byte_slices, free_name, span_hashes, stored
 
 #: Beginnings of words that are terms too, in letters: they stand for inflected forms.
 STEMS = (4, 5)
@@ -80,28 +80,29 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
 
 
-def screen(rows: np.ndarray, hashes: np.ndarray, y: np.ndarray, least: int, z: float, most: int) -> np.ndarray:
-    """Sorted hashes of the terms whose rates in the two classes differ by ``z`` standard errors."""
-    terms, at = np.unique(hashes, return_inverse=True)
-    one = np.bincount(at, y[rows], len(terms))
-    both = np.bincount(at, minlength=len(terms))
-    n1, n = max(1.0, y.sum()), max(1, len(y))
-    n0 = max(1.0, n - n1)
-    rate = both / n
-    gap = np.abs(one / n1 - (both - one) / n0) / np.sqrt(np.maximum(rate * (1 - rate), 1e-9) * (1 / n1 + 1 / n0))
-    keep = np.flatnonzero((both >= least) & (gap >= z))
-    return np.sort(terms[keep[np.argsort(-gap[keep], kind="stable")[:most]]])
+def screen(examples: DataFrame, ones: int, zeros: int, least: int = 3, z: float = 4.5, most: int = 4096) -> list[int]:
+    """Term hashes whose rates in the two classes differ by ``z`` standard errors, at most ``most``.
 
+    ``examples`` has y and terms. That bound is the size of the model; the furthest apart stay.
+    """
+    n1, n0 = max(1, ones), max(1, zeros)
+    rate = F.col("all") / (n1 + n0)
+    gap = F.abs(F.col("one") / n1 - (F.col("all") - F.col("one")) / n0) / F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-9)) * (1 / n1 + 1 / n0))
+    counts = examples.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("y").alias("one"), F.count("*").alias("all"))
+    kept = counts.where(F.col("all") >= least).withColumn("gap", gap).where(F.col("gap") >= z)
+    return [r.term for r in kept.orderBy(F.desc("gap"), "term").limit(most).select("term").collect()]
+
+
+def train(terms: np.ndarray, rows: np.ndarray, hashes: np.ndarray, y: np.ndarray, share: float, rank: int = 8, steps: int = 300,
+          rate: float = 0.1, decay: float = 2e-5, seed: int = 11) -> FactorizationMachine:
+    """Fits a machine over the sorted ``terms`` by full-batch adaptive gradient steps.
 
-def train(rows: np.ndarray, hashes: np.ndarray, y: np.ndarray, share: float, rank: int = 8, steps: int = 300,
-          rate: float = 0.1, decay: float = 2e-5, least: int = 3, z: float = 4.5, most: int = 4096, seed: int = 11) -> FactorizationMachine:
-    """Fits a machine by full-batch adaptive gradient steps on distinct terms per text.
+    ``rows`` and ``hashes`` are the text index and term of each occurrence of a term in a text.
 
     ``share`` is the weight that class 1 has in the sum of losses, whatever its number of rows.
     """
     n = len(y)
     rng = np.random.default_rng(seed)
-    terms = screen(rows, hashes, y, least, z, most) if n else np.zeros(0, np.uint64)
     share = min(max(share, 1e-3), 1 - 1e-3)
     fm = FactorizationMachine(terms, float(np.log(share / (1 - share))), np.zeros(len(terms)), rng.normal(0, 0.01, (len(terms), rank)))
     if not len(terms) or y.min() == y.max():
@@ -134,10 +135,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows_
     known = labels.select(F.col(id_col).alias("k"), F.col(label).cast("int").alias("y")).where(F.col("k").isNotNull() & F.col("y").isin(0, 1)).groupBy("k").agg(F.max("y").alias("y"))
     chosen = [known.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(rows_per_class) for y in (0, 1)]
     picked = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).join(F.broadcast(chosen[0].unionByName(chosen[1])), "k")
-    got = picked.select("k", "y", terms_column(F.col("t")).alias("terms")).toPandas().drop_duplicates("k").sort_values("k")
-    sizes = got.terms.map(len).to_numpy(np.int64) if len(got) else np.zeros(0, np.int64)
-    hashes = np.concatenate([np.zeros(0, np.int64), *got.terms]).astype(np.int64).view(np.uint64)
-    return train(np.repeat(np.arange(len(got)), sizes), hashes, got.y.to_numpy(float), share)
+    picked = stored(picked.select("y", terms_column(F.col("t")).alias("terms")).withColumn("row", F.monotonically_increasing_id()), "examples")
+    labelled = picked.select("row", "y").orderBy("row").toPandas()
+    y, ids = labelled.y.to_numpy(float), labelled.row.to_numpy(np.int64)
+    terms = np.sort(np.array(screen(picked, int(y.sum()), int(len(y) - y.sum())), np.int64).view(np.uint64))
+    wanted = docs.sparkSession.createDataFrame([(int(t),) for t in terms.view(np.int64)], "term long")
+    held = picked.select("row", F.explode("terms").alias("term")).join(F.broadcast(wanted), "term").toPandas().sort_values(["row", "term"])
+    return train(terms, np.searchsorted(ids, held.row.to_numpy(np.int64)), held.term.to_numpy(np.int64).view(np.uint64), y, share)
 
 
 def score_toxicity(docs: DataFrame, model: FactorizationMachine, out: str = "score", text_col: str = "text") -> DataFrame:
