@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,12 @@ BATCH_BYTES = 8 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small: texts can be long, and a batch is held whole by a worker."""
+    """Keep Arrow batches small: texts can be long, and a batch is held whole by a worker.
+
+    Workers on this machine also find this package where the driver has it; on a cluster it is
+    shipped with ``--py-files`` or installed.
+    """
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -186,8 +187,6 @@ def mask_spans(docs: DataFrame, out: str = "masked", text_col: str = "text") ->
 
     Overlapping spans are replaced as one, by the kind of the first. NULL texts stay NULL.
     """
-    import pandas as pd
-
     bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("string")
