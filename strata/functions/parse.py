@@ -24,8 +24,12 @@ def amount_value(c="amount") -> Column:
 
 
 def clean_amount(c="amount") -> Column:
-    """Strip everything but digits and dots, then cast to decimal(18,2); NULL if still bad."""
-    return F.regexp_replace(_col(c), vocab.AMOUNT_JUNK, "").try_cast(AMOUNT_TYPE)
+    """The value that is tested, ``amount_value``; only where text has none, its digits and dots.
+
+    Exponents are part of a number: '1e5' is 100000.00 and '5e-1' is 0.50. '$100' has no value as
+    it stands and becomes 100.00; NULL if nothing is left that reads as a number.
+    """
+    return F.coalesce(amount_value(c), F.regexp_replace(_col(c), vocab.AMOUNT_JUNK, "").try_cast(AMOUNT_TYPE))
 
 
 def parse_date(c, *formats: str) -> Column:

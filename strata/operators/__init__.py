@@ -12,7 +12,7 @@ from strata.operators.observe import (
 )
 from strata.operators.quarantine import (
     parse_record, quarantine, rejected, rejected_merchants, rejected_transactions,
-    rejected_users, split_valid_rejected, unaccounted,
+    rejected_users, unaccounted,
 )
 from strata.operators.rules import Rule, first_match
 from strata.operators.silver import silver, silver_merchants, silver_transactions, silver_users
@@ -24,6 +24,6 @@ __all__ = [
     "merchant_risk", "metric", "order_key", "parse_record", "quarantine", "rank_rows",
     "records_by_layer", "rejected", "rejected_merchants", "rejected_transactions",
     "rejected_users", "reversal_rate", "rollup_count", "row_filter", "secure_view", "silver",
-    "silver_merchants", "silver_transactions", "silver_users", "split_valid_rejected",
+    "silver_merchants", "silver_transactions", "silver_users",
     "top_n", "unaccounted",
 ]

@@ -1,13 +1,18 @@
-"""The three landing entities: key, dedup order, validity, reject rules, normalization.
+"""The three landing entities, each declared once: key, dedup order, and its fields.
 
-Everything here is a Column expression over the *raw* string columns of one row, so it
-can be evaluated anywhere in a plan (batch or stream) without a shuffle.
+A field states how it is stored and a list of checks. A check is one three-valued condition on the
+raw row with its reject message: TRUE passes, FALSE rejects, NULL does neither (the row is
+reported as unaccounted). The silver predicate (all checks TRUE) and the ordered reject rules
+(first check FALSE) both come from this declaration, so they cannot drift apart. All conditions
+are Column expressions of one row and can be evaluated anywhere in a plan, batch or stream.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,198 +25,133 @@ from strata.operators.rules import Rule
 
 DUP = "_dup"  # NULL: key is NULL; False: the one winner of its key; True: a duplicate
 
+Condition = Callable[[Column], Column]
 
-def c(name: str) -> Column:
-    return F.col(name)
 
+@dataclass(frozen=True)
+class Field:
+    """A landing column: the form it is stored in and its (message, condition) checks, in order."""
+
+    name: str
+    stored: Condition = lambda c: c
+    checks: tuple[tuple[str, Condition], ...] = ()
 
-def in_vocab(col: Column, values) -> Column:
-    return col.isin(*values)
+    def rules(self) -> list[Rule]:
+        return [Rule(~holds(F.col(self.name)), message, self.name) for message, holds in self.checks]
 
 
 @dataclass(frozen=True)
 class Entity:
-    name: str                                   # source_name in quarantine
+    name: str                        # source_name in quarantine
     key: str
-    columns: tuple[str, ...]                    # raw data columns, landing order
-    date: str                                   # raw date column, second sort key
-    priority: Callable[[], Column]              # first sort key (higher wins)
-    rules: Callable[[], list[Rule]]             # reject rules, in precedence order
-    valid: Callable[[], Column]                 # silver predicate on the winner
-    normalize: Callable[[DataFrame, object], DataFrame]  # winner -> silver row
-    silver_columns: tuple[str, ...]
-
-
-def _key_rules(key: str, null_reason: str, dup_reason: str) -> list[Rule]:
-    return [Rule(c(key).isNull(), null_reason, key),
-            Rule(c(DUP), dup_reason, key)]
-
-
-# ---------------------------------------------------------------- transactions
-def _tx_rules() -> list[Rule]:
-    amount = amount_value("amount")
-    return _key_rules("transaction_id", vocab.TX_ID_NULL, vocab.TX_ID_DUP) + [
-        Rule(c("user_id").isNull(), vocab.TX_USER_NULL, "user_id"),
-        Rule(c("merchant_id").isNull(), vocab.TX_MERCHANT_NULL, "merchant_id"),
-        Rule(c("amount").isNull(), vocab.TX_AMOUNT_NULL, "amount"),
-        Rule(amount <= 0, vocab.TX_AMOUNT_NOT_POSITIVE, "amount"),
-        Rule(c("transaction_date").isNull(), vocab.TX_DATE_NULL, "transaction_date"),
-        Rule((c("transaction_type") == vocab.REVERSAL) & c("reference_id").isNull(),
-             vocab.TX_REFERENCE_MISSING, "reference_id"),
-        Rule(~in_vocab(F.lower(c("channel")), vocab.CHANNELS), vocab.TX_CHANNEL, "channel"),
-        Rule(~in_vocab(F.lower(c("transaction_type")), vocab.TRANSACTION_TYPES),
-             vocab.TX_TYPE, "transaction_type"),
-        Rule(~in_vocab(F.upper(c("currency")), vocab.CURRENCIES), vocab.TX_CURRENCY, "currency"),
-        Rule(~in_vocab(F.lower(c("status")), vocab.TRANSACTION_STATUSES), vocab.TX_STATUS, "status"),
-    ]
-
-
-def _tx_valid() -> Column:
-    return (c("transaction_id").isNotNull() & c("user_id").isNotNull()
-            & c("merchant_id").isNotNull()
-            & c("amount").isNotNull() & (amount_value("amount") > 0)
-            & c("transaction_date").isNotNull()
-            & ~((c("transaction_type") == vocab.REVERSAL) & c("reference_id").isNull())
-            & in_vocab(F.lower(c("channel")), vocab.CHANNELS)
-            & in_vocab(F.lower(c("transaction_type")), vocab.TRANSACTION_TYPES)
-            & in_vocab(F.upper(c("currency")), vocab.CURRENCIES)
-            & in_vocab(F.lower(c("status")), vocab.TRANSACTION_STATUSES))
-
-
-def _tx_normalize(df: DataFrame, as_of=None) -> DataFrame:
-    tx_type = F.lower(F.trim(c("transaction_type")))
-    return df.select(
-        "transaction_id", "user_id", "merchant_id",
-        clean_amount("amount").alias("amount"),
-        parse_date("transaction_date", vocab.DATE_FORMAT, vocab.ALT_DATE_FORMAT).alias("transaction_date"),
-        F.when(tx_type == vocab.REVERSAL, c("reference_id"))
-         .otherwise(F.lit(vocab.NO_REFERENCE)).alias("reference_id"),
-        F.lower(F.trim(c("channel"))).alias("channel"),
-        tx_type.alias("transaction_type"),
-        F.upper(F.trim(c("currency"))).alias("currency"),
-        F.lower(F.trim(c("status"))).alias("status"),
-        load_date(as_of).alias("_ingested_at"),
-    )
+    key_messages: tuple[str, str]    # key is NULL, key is a duplicate
+    columns: tuple[str, ...]         # raw data columns, landing order
+    date: str                        # raw date column, second sort key
+    priority: Callable[[], Column]   # first sort key (higher wins)
+    fields: tuple[Field, ...]        # all columns but the key, in silver and rule order
 
+    @property
+    def silver_columns(self) -> tuple[str, ...]:
+        return (self.key, *(f.name for f in self.fields), "_ingested_at")
 
-TRANSACTIONS = Entity(
-    name="transactions", key="transaction_id", columns=vocab.TRANSACTION_COLUMNS,
-    date="transaction_date", priority=lambda: status_priority("status"),
-    rules=_tx_rules, valid=_tx_valid, normalize=_tx_normalize,
-    silver_columns=("transaction_id", "user_id", "merchant_id", "amount", "transaction_date",
-                    "reference_id", "channel", "transaction_type", "currency", "status",
-                    "_ingested_at"),
-)
+    def rules(self) -> list[Rule]:
+        """Reject rules in precedence order: the key's, then each field's failed checks."""
+        missing, repeated = self.key_messages
+        of_key = [Rule(F.col(self.key).isNull(), missing, self.key), Rule(F.col(DUP), repeated, self.key)]
+        return of_key + [r for f in self.fields for r in f.rules()]
 
+    def valid(self) -> Column:
+        """Silver predicate on a winner: every check holds (winners have a key already)."""
+        return reduce(and_, (holds(F.col(f.name)) for f in self.fields for _, holds in f.checks))
 
-# ---------------------------------------------------------------- users
-def _bad_name() -> Column:
-    return ~present("full_name") | c("full_name").rlike(vocab.NAME_FORBIDDEN)
+    def normalize(self, df: DataFrame, as_of=None) -> DataFrame:
+        """The stored form of each row, in silver order, with its load date."""
+        return df.select(self.key, *(f.stored(F.col(f.name)).alias(f.name) for f in self.fields),
+                         load_date(as_of).alias("_ingested_at"))
 
 
-def _bad_email() -> Column:
-    return ~present("email") | ~c("email").rlike(vocab.EMAIL)
+# ---------------------------------------------------------------- kinds of fields
+def required(name: str, message: str, stored: Condition = lambda c: c, *more: tuple[str, Condition]) -> Field:
+    return Field(name, stored, ((message, lambda c: c.isNotNull()), *more))
 
 
-def _bad_phone() -> Column:
-    return c("phone").isNull() | ~c("phone").rlike(vocab.PHONE)
+def member(name: str, values: tuple[str, ...], message: str, case: Callable[[Column], Column] = F.lower,
+           optional: bool = False) -> Field:
+    """One of a closed vocabulary whatever its case; stored trimmed, in the vocabulary's case."""
+    def holds(c: Column) -> Column:
+        known = case(c).isin(*values)
+        return c.isNull() | known if optional else known
 
+    return Field(name, lambda c: case(F.trim(c)), ((message, holds),))
 
-def _user_rules() -> list[Rule]:
-    return _key_rules("user_id", vocab.U_ID_NULL, vocab.U_ID_DUP) + [
-        Rule(_bad_name(), vocab.U_NAME, "full_name"),
-        Rule((c("country") == vocab.PERU) & ~c("document_id").rlike(vocab.PE_DOCUMENT),
-             vocab.U_DOCUMENT, "document_id"),
-        Rule(_bad_email(), vocab.U_EMAIL, "email"),
-        Rule(_bad_phone(), vocab.U_PHONE, "phone"),
-        Rule(~in_vocab(F.upper(c("country")), vocab.COUNTRIES) & c("country").isNotNull(),
-             vocab.U_COUNTRY, "country"),
-        Rule(~in_vocab(F.lower(c("segment")), vocab.SEGMENTS) & c("segment").isNotNull(),
-             vocab.U_SEGMENT, "segment"),
-        Rule(parse_date("registration_date").isNull(), vocab.U_DATE, "registration_date"),
-    ]
 
+def text(name: str, message: str, pattern: str, wanted: bool = True) -> Field:
+    """Not blank, and matching a pattern (or not, if it is an unwanted one)."""
+    return Field(name, checks=((message, lambda c: present(c) & (c.rlike(pattern) if wanted else ~c.rlike(pattern))),))
 
-def _user_valid() -> Column:
-    country = c("country")
-    return (c("user_id").isNotNull() & present("full_name")
-            & ~c("full_name").rlike(vocab.NAME_FORBIDDEN)
-            & (((country == vocab.PERU) & c("document_id").rlike(vocab.PE_DOCUMENT))
-               | (country != vocab.PERU) | country.isNull())
-            & present("email") & c("email").rlike(vocab.EMAIL)
-            & c("phone").isNotNull() & c("phone").rlike(vocab.PHONE)
-            & (in_vocab(F.upper(country), vocab.COUNTRIES) | country.isNull())
-            & (in_vocab(F.lower(c("segment")), vocab.SEGMENTS) | c("segment").isNull())
-            & parse_date("registration_date").isNotNull())
 
+def iso_date(name: str, message: str) -> Field:
+    return Field(name, lambda c: parse_date(c), ((message, lambda c: parse_date(c).isNotNull()),))
 
-def _user_normalize(df: DataFrame, as_of=None) -> DataFrame:
-    return df.select(
-        "user_id", "full_name", c("document_id").cast("string").alias("document_id"),
-        "email", "phone",
-        F.upper(F.trim(c("country"))).alias("country"),
-        F.lower(F.trim(c("segment"))).alias("segment"),
-        parse_date("registration_date").alias("registration_date"),
-        load_date(as_of).alias("_ingested_at"),
-    )
 
+# ---------------------------------------------------------------- the entities
+def _is(column: str, value: str) -> Column:
+    return F.col(column) == value
+
+
+TRANSACTIONS = Entity(
+    name="transactions", key="transaction_id", key_messages=(vocab.TX_ID_NULL, vocab.TX_ID_DUP),
+    columns=vocab.TRANSACTION_COLUMNS, date="transaction_date", priority=lambda: status_priority("status"),
+    fields=(
+        required("user_id", vocab.TX_USER_NULL),
+        required("merchant_id", vocab.TX_MERCHANT_NULL),
+        required("amount", vocab.TX_AMOUNT_NULL, clean_amount, (vocab.TX_AMOUNT_NOT_POSITIVE, lambda c: amount_value(c) > 0)),
+        required("transaction_date", vocab.TX_DATE_NULL, lambda c: parse_date(c, vocab.DATE_FORMAT, vocab.ALT_DATE_FORMAT)),
+        Field("reference_id",
+              lambda c: F.when(F.lower(F.trim(F.col("transaction_type"))) == vocab.REVERSAL, c).otherwise(F.lit(vocab.NO_REFERENCE)),
+              ((vocab.TX_REFERENCE_MISSING, lambda c: c.isNotNull() | ~_is("transaction_type", vocab.REVERSAL)),)),
+        member("channel", vocab.CHANNELS, vocab.TX_CHANNEL),
+        member("transaction_type", vocab.TRANSACTION_TYPES, vocab.TX_TYPE),
+        member("currency", vocab.CURRENCIES, vocab.TX_CURRENCY, F.upper),
+        member("status", vocab.TRANSACTION_STATUSES, vocab.TX_STATUS),
+    ),
+)
 
 USERS = Entity(
-    name="users", key="user_id", columns=vocab.USER_COLUMNS, date="registration_date",
-    priority=lambda: doc_priority("document_id"), rules=_user_rules, valid=_user_valid,
-    normalize=_user_normalize,
-    silver_columns=("user_id", "full_name", "document_id", "email", "phone", "country",
-                    "segment", "registration_date", "_ingested_at"),
+    name="users", key="user_id", key_messages=(vocab.U_ID_NULL, vocab.U_ID_DUP),
+    columns=vocab.USER_COLUMNS, date="registration_date", priority=lambda: doc_priority("document_id"),
+    fields=(
+        text("full_name", vocab.U_NAME, vocab.NAME_FORBIDDEN, wanted=False),
+        # only one country's documents have a fixed form; a missing country has none
+        Field("document_id", lambda c: c.cast("string"),
+              ((vocab.U_DOCUMENT, lambda c: ~_is("country", vocab.PERU).eqNullSafe(F.lit(True)) | c.rlike(vocab.PE_DOCUMENT)),)),
+        text("email", vocab.U_EMAIL, vocab.EMAIL),
+        text("phone", vocab.U_PHONE, vocab.PHONE),
+        member("country", vocab.COUNTRIES, vocab.U_COUNTRY, F.upper, optional=True),
+        member("segment", vocab.SEGMENTS, vocab.U_SEGMENT, optional=True),
+        iso_date("registration_date", vocab.U_DATE),
+    ),
 )
 
 
-# ---------------------------------------------------------------- merchants
-def _merchant_rules() -> list[Rule]:
-    category_set = c("category").isNotNull()
-    return _key_rules("merchant_id", vocab.M_ID_NULL, vocab.M_ID_DUP) + [
-        Rule(~present("merchant_name"), vocab.M_NAME, "merchant_name"),
-        Rule(~in_vocab(F.lower(c("category")), vocab.MERCHANT_CATEGORIES) & category_set,
-             vocab.M_CATEGORY, "category"),
-        Rule(~in_vocab(F.upper(c("country")), vocab.COUNTRIES) & c("country").isNotNull(),
-             vocab.M_COUNTRY, "country"),
-        Rule(parse_date("affiliation_date").isNull(), vocab.M_DATE, "affiliation_date"),
-        Rule(~in_vocab(F.lower(c("status")), vocab.MERCHANT_STATUSES) & c("status").isNotNull(),
-             vocab.M_STATUS, "status"),
-        Rule(c("risk_level").isNull() & category_set, vocab.M_RISK_NULL, "risk_level"),
-        Rule(~in_vocab(F.lower(c("risk_level")), vocab.RISK_LEVELS)
-             & c("risk_level").isNotNull() & category_set, vocab.M_RISK, "risk_level"),
-    ]
-
-
-def _merchant_valid() -> Column:
-    risk = c("risk_level")
-    return (c("merchant_id").isNotNull() & present("merchant_name")
-            & (in_vocab(F.lower(c("category")), vocab.MERCHANT_CATEGORIES) | c("category").isNull())
-            & (in_vocab(F.upper(c("country")), vocab.COUNTRIES) | c("country").isNull())
-            & parse_date("affiliation_date").isNotNull()
-            & (in_vocab(F.lower(c("status")), vocab.MERCHANT_STATUSES) | c("status").isNull())
-            & ((risk.isNotNull() & in_vocab(F.lower(risk), vocab.RISK_LEVELS))
-               | (risk.isNull() & c("category").isNull())))
-
-
-def _merchant_normalize(df: DataFrame, as_of=None) -> DataFrame:
-    return df.select(
-        "merchant_id", "merchant_name",
-        F.lower(F.trim(c("category"))).alias("category"),
-        F.upper(F.trim(c("country"))).alias("country"),
-        parse_date("affiliation_date").alias("affiliation_date"),
-        F.lower(F.trim(c("status"))).alias("status"),
-        F.lower(F.trim(c("risk_level"))).alias("risk_level"),
-        load_date(as_of).alias("_ingested_at"),
-    )
+def _risk_known(c: Column) -> Column:
+    """A known level or none; an unknown one is rejected only beside a category, else undecided."""
+    unknown = F.when(F.col("category").isNotNull(), F.lit(False))
+    return F.when(c.isNull() | F.lower(c).isin(*vocab.RISK_LEVELS), F.lit(True)).otherwise(unknown)
 
 
 MERCHANTS = Entity(
-    name="merchants", key="merchant_id", columns=vocab.MERCHANT_COLUMNS,
-    date="affiliation_date", priority=lambda: name_priority("merchant_name"),
-    rules=_merchant_rules, valid=_merchant_valid, normalize=_merchant_normalize,
-    silver_columns=("merchant_id", "merchant_name", "category", "country", "affiliation_date",
-                    "status", "risk_level", "_ingested_at"),
+    name="merchants", key="merchant_id", key_messages=(vocab.M_ID_NULL, vocab.M_ID_DUP),
+    columns=vocab.MERCHANT_COLUMNS, date="affiliation_date", priority=lambda: name_priority("merchant_name"),
+    fields=(
+        Field("merchant_name", checks=((vocab.M_NAME, present),)),
+        member("category", vocab.MERCHANT_CATEGORIES, vocab.M_CATEGORY, optional=True),
+        member("country", vocab.COUNTRIES, vocab.M_COUNTRY, F.upper, optional=True),
+        iso_date("affiliation_date", vocab.M_DATE),
+        member("status", vocab.MERCHANT_STATUSES, vocab.M_STATUS, optional=True),
+        Field("risk_level", lambda c: F.lower(F.trim(c)),
+              ((vocab.M_RISK_NULL, lambda c: c.isNotNull() | F.col("category").isNull()), (vocab.M_RISK, _risk_known))),
+    ),
 )
 
 ENTITIES = {e.name: e for e in (TRANSACTIONS, USERS, MERCHANTS)}

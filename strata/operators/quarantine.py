@@ -9,7 +9,6 @@ TRUE, so a NULL lands in neither; ``unaccounted`` reports those rows.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -20,7 +19,6 @@ from strata.functions.stamps import load_date, load_timestamp
 from strata.operators.dedup import keep_best, rank_rows
 from strata.operators.entities import DUP, MERCHANTS, TRANSACTIONS, USERS, Entity
 from strata.operators.rules import REJECT, any_fires, first_match
-from strata.operators.silver import silver
 from strata.sources.bronze import data_columns
 
 QUARANTINE_COLUMNS = ("source_name", "reject_reason", "error_column", "processed_at", "raw_record")
@@ -83,29 +81,6 @@ def unaccounted(raw: DataFrame, entity: Entity, winners: DataFrame | None = None
                    .select(F.lit(entity.name).alias("source_name"), *entity.columns))
 
 
-@dataclass(frozen=True)
-class Split:
-    winners: DataFrame
-    silver: DataFrame
-    rejected: DataFrame
-    unaccounted: DataFrame
-
-
-def split_valid_rejected(raw: DataFrame, entity: Entity, as_of=None) -> Split:
-    """Silver, rejects and the gap from one dedup aggregate.
-
-    The three outputs share the winners plan; Spark reuses its shuffle when they run in
-    one job, and callers writing them separately may persist or checkpoint ``winners``.
-    """
-    winners = keep_best(raw, entity)
-    return Split(
-        winners=winners,
-        silver=silver(raw, entity, as_of, winners=winners),
-        rejected=rejected(raw, entity, as_of, ranked=rank_rows(raw, entity, winners=winners)),
-        unaccounted=unaccounted(raw, entity, winners=winners),
-    )
-
-
 def parse_record(quarantine_df: DataFrame, entity: Entity) -> DataFrame:
     """Flatten ``raw_record`` back into the entity's landing columns."""
     schema = vocab.string_schema(entity.columns)

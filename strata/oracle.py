@@ -46,29 +46,21 @@ TX_VALID = f"""(transaction_id IS NOT NULL AND user_id IS NOT NULL AND merchant_
   AND lower(channel) IN {CHANNELS} AND lower(transaction_type) IN {TYPES}
   AND upper(currency) IN {CURRENCIES} AND lower(status) IN {TX_STATUSES})"""
 
-TX_REASON = f"""CASE WHEN transaction_id IS NULL THEN 'transaction_id nulo crítico'
-  WHEN rn > 1 THEN 'transaction_id duplicado'
-  WHEN user_id IS NULL THEN 'user_id nulo crítico'
-  WHEN merchant_id IS NULL THEN 'merchant_id nulo crítico'
-  WHEN amount IS NULL THEN 'amount nulo crítico'
-  WHEN try_cast(amount AS DECIMAL(18,2)) <= 0 THEN 'amount inválido (no positivo)'
-  WHEN transaction_date IS NULL THEN 'transaction_date nulo crítico'
-  WHEN transaction_type = 'reversa' AND reference_id IS NULL THEN 'reference_id faltante en reversa'
-  WHEN NOT lower(channel) IN {CHANNELS} THEN 'channel formato incorrecto'
-  WHEN NOT lower(transaction_type) IN {TYPES} THEN 'transaction_type inválido'
-  WHEN NOT upper(currency) IN {CURRENCIES} THEN 'currency inválido'
-  WHEN NOT lower(status) IN {TX_STATUSES} THEN 'status inválido' END"""
-
-TX_ERRCOL = f"""CASE WHEN transaction_id IS NULL OR rn > 1 THEN 'transaction_id'
-  WHEN user_id IS NULL THEN 'user_id'
-  WHEN merchant_id IS NULL THEN 'merchant_id'
-  WHEN amount IS NULL OR try_cast(amount AS DECIMAL(18,2)) <= 0 THEN 'amount'
-  WHEN transaction_date IS NULL THEN 'transaction_date'
-  WHEN transaction_type = 'reversa' AND reference_id IS NULL THEN 'reference_id'
-  WHEN NOT lower(channel) IN {CHANNELS} THEN 'channel'
-  WHEN NOT lower(transaction_type) IN {TYPES} THEN 'transaction_type'
-  WHEN NOT upper(currency) IN {CURRENCIES} THEN 'currency'
-  WHEN NOT lower(status) IN {TX_STATUSES} THEN 'status' END"""
+#: Numbered rules of each source as (column, condition, message); the lowest number that holds wins.
+TX_RULES = [
+    ("transaction_id", "transaction_id IS NULL", "transaction_id nulo crítico"),
+    ("transaction_id", "rn > 1", "transaction_id duplicado"),
+    ("user_id", "user_id IS NULL", "user_id nulo crítico"),
+    ("merchant_id", "merchant_id IS NULL", "merchant_id nulo crítico"),
+    ("amount", "amount IS NULL", "amount nulo crítico"),
+    ("amount", "try_cast(amount AS DECIMAL(18,2)) <= 0", "amount inválido (no positivo)"),
+    ("transaction_date", "transaction_date IS NULL", "transaction_date nulo crítico"),
+    ("reference_id", "transaction_type = 'reversa' AND reference_id IS NULL", "reference_id faltante en reversa"),
+    ("channel", f"lower(channel) NOT IN {CHANNELS}", "channel formato incorrecto"),
+    ("transaction_type", f"lower(transaction_type) NOT IN {TYPES}", "transaction_type inválido"),
+    ("currency", f"upper(currency) NOT IN {CURRENCIES}", "currency inválido"),
+    ("status", f"lower(status) NOT IN {TX_STATUSES}", "status inválido"),
+]
 
 U_VALID = f"""(user_id IS NOT NULL AND full_name IS NOT NULL AND trim(full_name) <> ''
   AND NOT regexp_matches(full_name, '[,;|]')
@@ -79,24 +71,17 @@ U_VALID = f"""(user_id IS NOT NULL AND full_name IS NOT NULL AND trim(full_name)
   AND (lower(segment) IN {SEGMENTS} OR segment IS NULL)
   AND {_iso('registration_date')} IS NOT NULL)"""
 
-U_REASON = f"""CASE WHEN user_id IS NULL THEN 'user_id nulo crítico'
-  WHEN rn > 1 THEN 'user_id duplicado'
-  WHEN full_name IS NULL OR trim(full_name) = '' OR regexp_matches(full_name, '[,;|]') THEN 'full_name inválido'
-  WHEN country = 'PE' AND NOT regexp_matches(document_id, '^[0-9]{{8}}$') THEN 'document_id inválido para PE'
-  WHEN email IS NULL OR trim(email) = '' OR NOT regexp_matches(email, {EMAIL}) THEN 'email inválido'
-  WHEN phone IS NULL OR NOT regexp_matches(phone, {PHONE}) THEN 'phone inválido'
-  WHEN NOT upper(country) IN {COUNTRIES} AND country IS NOT NULL THEN 'country inválido'
-  WHEN NOT lower(segment) IN {SEGMENTS} AND segment IS NOT NULL THEN 'segment inválido'
-  WHEN {_iso('registration_date')} IS NULL THEN 'registration_date inválido' END"""
-
-U_ERRCOL = f"""CASE WHEN user_id IS NULL OR rn > 1 THEN 'user_id'
-  WHEN full_name IS NULL OR trim(full_name) = '' OR regexp_matches(full_name, '[,;|]') THEN 'full_name'
-  WHEN country = 'PE' AND NOT regexp_matches(document_id, '^[0-9]{{8}}$') THEN 'document_id'
-  WHEN email IS NULL OR trim(email) = '' OR NOT regexp_matches(email, {EMAIL}) THEN 'email'
-  WHEN phone IS NULL OR NOT regexp_matches(phone, {PHONE}) THEN 'phone'
-  WHEN NOT upper(country) IN {COUNTRIES} AND country IS NOT NULL THEN 'country'
-  WHEN NOT lower(segment) IN {SEGMENTS} AND segment IS NOT NULL THEN 'segment'
-  WHEN {_iso('registration_date')} IS NULL THEN 'registration_date' END"""
+U_RULES = [
+    ("user_id", "user_id IS NULL", "user_id nulo crítico"),
+    ("user_id", "rn > 1", "user_id duplicado"),
+    ("full_name", "coalesce(trim(full_name), '') = '' OR regexp_matches(full_name, '[,;|]')", "full_name inválido"),
+    ("document_id", "country = 'PE' AND NOT regexp_matches(document_id, '^[0-9]{8}$')", "document_id inválido para PE"),
+    ("email", f"coalesce(trim(email), '') = '' OR NOT regexp_matches(email, {EMAIL})", "email inválido"),
+    ("phone", f"phone IS NULL OR NOT regexp_matches(phone, {PHONE})", "phone inválido"),
+    ("country", f"upper(country) NOT IN {COUNTRIES}", "country inválido"),
+    ("segment", f"lower(segment) NOT IN {SEGMENTS}", "segment inválido"),
+    ("registration_date", f"{_iso('registration_date')} IS NULL", "registration_date inválido"),
+]
 
 M_VALID = f"""(merchant_id IS NOT NULL AND merchant_name IS NOT NULL AND trim(merchant_name) <> ''
   AND (lower(category) IN {CATEGORIES} OR category IS NULL)
@@ -105,24 +90,25 @@ M_VALID = f"""(merchant_id IS NOT NULL AND merchant_name IS NOT NULL AND trim(me
   AND (lower(status) IN {M_STATUSES} OR status IS NULL)
   AND ((risk_level IS NOT NULL AND lower(risk_level) IN {RISKS}) OR (risk_level IS NULL AND category IS NULL)))"""
 
-M_REASON = f"""CASE WHEN merchant_id IS NULL THEN 'merchant_id nulo crítico'
-  WHEN rn > 1 THEN 'merchant_id duplicado'
-  WHEN merchant_name IS NULL OR trim(merchant_name) = '' THEN 'merchant_name vacío o nulo'
-  WHEN NOT lower(category) IN {CATEGORIES} AND category IS NOT NULL THEN 'category inválido'
-  WHEN NOT upper(country) IN {COUNTRIES} AND country IS NOT NULL THEN 'country inválido'
-  WHEN {_iso('affiliation_date')} IS NULL THEN 'affiliation_date inválido'
-  WHEN NOT lower(status) IN {M_STATUSES} AND status IS NOT NULL THEN 'status inválido'
-  WHEN risk_level IS NULL AND category IS NOT NULL THEN 'risk_level nulo con category presente'
-  WHEN NOT lower(risk_level) IN {RISKS} AND risk_level IS NOT NULL AND category IS NOT NULL THEN 'risk_level inválido' END"""
-
-M_ERRCOL = f"""CASE WHEN merchant_id IS NULL OR rn > 1 THEN 'merchant_id'
-  WHEN merchant_name IS NULL OR trim(merchant_name) = '' THEN 'merchant_name'
-  WHEN NOT lower(category) IN {CATEGORIES} AND category IS NOT NULL THEN 'category'
-  WHEN NOT upper(country) IN {COUNTRIES} AND country IS NOT NULL THEN 'country'
-  WHEN {_iso('affiliation_date')} IS NULL THEN 'affiliation_date'
-  WHEN NOT lower(status) IN {M_STATUSES} AND status IS NOT NULL THEN 'status'
-  WHEN risk_level IS NULL AND category IS NOT NULL THEN 'risk_level'
-  WHEN NOT lower(risk_level) IN {RISKS} AND risk_level IS NOT NULL AND category IS NOT NULL THEN 'risk_level' END"""
+M_RULES = [
+    ("merchant_id", "merchant_id IS NULL", "merchant_id nulo crítico"),
+    ("merchant_id", "rn > 1", "merchant_id duplicado"),
+    ("merchant_name", "coalesce(trim(merchant_name), '') = ''", "merchant_name vacío o nulo"),
+    ("category", f"lower(category) NOT IN {CATEGORIES}", "category inválido"),
+    ("country", f"upper(country) NOT IN {COUNTRIES}", "country inválido"),
+    ("affiliation_date", f"{_iso('affiliation_date')} IS NULL", "affiliation_date inválido"),
+    ("status", f"lower(status) NOT IN {M_STATUSES}", "status inválido"),
+    ("risk_level", "risk_level IS NULL AND category IS NOT NULL", "risk_level nulo con category presente"),
+    ("risk_level", f"lower(risk_level) NOT IN {RISKS} AND category IS NOT NULL", "risk_level inválido"),
+]
+
+
+def _first_rule(rules: list[tuple[str, str, str]], part: int) -> str:
+    """Column (0) or message (2) of the lowest-numbered rule that holds, by number from a list."""
+    numbers = ", ".join(f"CASE WHEN {rule[1]} THEN {k} END" for k, rule in enumerate(rules, 1))
+    values = ", ".join(f"'{rule[part]}'" for rule in rules)
+    return f"list_extract([{values}], least({numbers}))"
+
 
 _D = "DESC NULLS LAST"
 
@@ -138,27 +124,27 @@ tx_r AS (
       transaction_date {_D}, user_id {_D}, merchant_id {_D}, channel {_D}, transaction_type {_D},
       amount {_D}, currency {_D}, status {_D}, reference_id {_D}) AS rn
   FROM tx_raw),
-tx_q AS (SELECT *, {TX_VALID} AS valid, {TX_REASON} AS reject_reason, {TX_ERRCOL} AS error_column FROM tx_r),
+tx_q AS (SELECT *, {TX_VALID} AS valid, {_first_rule(TX_RULES, 2)} AS reject_reason, {_first_rule(TX_RULES, 0)} AS error_column FROM tx_r),
 u_r AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY
       CASE WHEN document_id IS NOT NULL THEN 2 ELSE 1 END DESC,
       registration_date {_D}, full_name {_D}, document_id {_D}, email {_D}, phone {_D},
       country {_D}, segment {_D}) AS rn
   FROM u_raw),
-u_q AS (SELECT *, {U_VALID} AS valid, {U_REASON} AS reject_reason, {U_ERRCOL} AS error_column FROM u_r),
+u_q AS (SELECT *, {U_VALID} AS valid, {_first_rule(U_RULES, 2)} AS reject_reason, {_first_rule(U_RULES, 0)} AS error_column FROM u_r),
 m_r AS (
   SELECT *, row_number() OVER (PARTITION BY merchant_id ORDER BY
       CASE WHEN merchant_name IS NOT NULL AND trim(merchant_name) <> '' THEN 2 ELSE 1 END DESC,
       affiliation_date {_D}, merchant_name {_D}, category {_D}, country {_D}, status {_D},
       risk_level {_D}) AS rn
   FROM m_raw),
-m_q AS (SELECT *, {M_VALID} AS valid, {M_REASON} AS reject_reason, {M_ERRCOL} AS error_column FROM m_r),
+m_q AS (SELECT *, {M_VALID} AS valid, {_first_rule(M_RULES, 2)} AS reject_reason, {_first_rule(M_RULES, 0)} AS error_column FROM m_r),
 tx_w AS (SELECT * FROM tx_q WHERE rn = 1 AND transaction_id IS NOT NULL),
 u_w AS (SELECT * FROM u_q WHERE rn = 1 AND user_id IS NOT NULL),
 m_w AS (SELECT * FROM m_q WHERE rn = 1 AND merchant_id IS NOT NULL),
 tx_norm AS (
   SELECT transaction_id, user_id, merchant_id,
-    try_cast(regexp_replace(amount, '[^0-9.]', '', 'g') AS DECIMAL(18,2)) AS amount,
+    coalesce(try_cast(amount AS DECIMAL(18,2)), try_cast(regexp_replace(amount, '[^0-9.]', '', 'g') AS DECIMAL(18,2))) AS amount,
     coalesce({_iso('transaction_date')}, {_dmy('transaction_date')}) AS transaction_date,
     CASE WHEN lower(trim(transaction_type)) = 'reversa' THEN reference_id ELSE 'none' END AS reference_id,
     lower(trim(channel)) AS channel, lower(trim(transaction_type)) AS transaction_type,
@@ -299,7 +285,7 @@ ORACLE: dict[str, str] = {
     "silver_users": _q("SELECT * FROM u_silver"),
     "silver_merchants": _q("SELECT * FROM m_silver"),
     "clean_amount": _q("SELECT amount, try_cast(amount AS DECIMAL(18,2)) AS amount_value, "
-                       "try_cast(regexp_replace(amount, '[^0-9.]', '', 'g') AS DECIMAL(18,2)) AS amount_clean "
+                       "coalesce(try_cast(amount AS DECIMAL(18,2)), try_cast(regexp_replace(amount, '[^0-9.]', '', 'g') AS DECIMAL(18,2))) AS amount_clean "
                        "FROM tx_raw"),
     "parse_dates": _q(f"SELECT transaction_date, coalesce({_iso('transaction_date')}, "
                       f"{_dmy('transaction_date')}) AS parsed_date FROM tx_raw"),
@@ -310,9 +296,9 @@ ORACLE: dict[str, str] = {
     "dedup_transactions": _q(f"SELECT {TX_COLS} FROM tx_w"),
     "dedup_users": _q(f"SELECT {U_COLS} FROM u_w"),
     "dedup_merchants": _q(f"SELECT {M_COLS} FROM m_w"),
-    "rank_transactions": _q(f"SELECT {TX_COLS}, rn > 1 AS is_duplicate FROM tx_r WHERE transaction_id IS NOT NULL"),
-    "rank_users": _q(f"SELECT {U_COLS}, rn > 1 AS is_duplicate FROM u_r WHERE user_id IS NOT NULL"),
-    "rank_merchants": _q(f"SELECT {M_COLS}, rn > 1 AS is_duplicate FROM m_r WHERE merchant_id IS NOT NULL"),
+    "rank_transactions": _q(f"SELECT {TX_COLS}, CASE WHEN transaction_id IS NOT NULL THEN rn > 1 END AS is_duplicate FROM tx_r"),
+    "rank_users": _q(f"SELECT {U_COLS}, CASE WHEN user_id IS NOT NULL THEN rn > 1 END AS is_duplicate FROM u_r"),
+    "rank_merchants": _q(f"SELECT {M_COLS}, CASE WHEN merchant_id IS NOT NULL THEN rn > 1 END AS is_duplicate FROM m_r"),
     # quarantine
     "rejected_transactions": _q(f"SELECT 'transactions' AS source_name, reject_reason, error_column, {TX_COLS} "
                                 "FROM tx_q WHERE reject_reason IS NOT NULL"),
@@ -347,7 +333,7 @@ ORACLE: dict[str, str] = {
     "mv_dim_user": _q("SELECT * FROM dim_user"),
     "mv_dim_channel": _q("SELECT * FROM dim_channel"),
     "mv_dim_date": _q("SELECT * FROM dim_date"),
-    "fact_daily_window": _q("SELECT * EXCLUDE (_ingested_at) FROM fact WHERE transaction_date IS NOT NULL"),
+    "fact_daily_window": _q("SELECT * EXCLUDE (_ingested_at) FROM fact"),
     # governance
     "mask_pii": _q(f"SELECT {_MASKED_USER} FROM u_silver"),
     "rls_riesgo": _q("SELECT user_id, segment FROM u_silver WHERE segment IN ('premium', 'estandar')"),

@@ -148,8 +148,7 @@ def q_dedup_merchants(spark, sf_dir):
 def _rank(spark, sf_dir, entity):
     L = layers(spark, sf_dir)
     ranked = rank_rows(L.bronze[entity.name], entity, L.winners[entity.name])
-    return (ranked.filter(F.col(entity.key).isNotNull())
-                  .select(*entity.columns, F.col(DUP).alias("is_duplicate")))
+    return ranked.select(*entity.columns, F.col(DUP).alias("is_duplicate"))
 
 
 @query("rank_transactions")

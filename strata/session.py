@@ -38,14 +38,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when nothing is configured (local tests) a private
-    scratch folder is created and set.
+    Read from the session; a local master without the setting gets a private scratch
+    folder, any other master an error, since executors would not share that folder.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="strata-ckpt-", dir="/tmp")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

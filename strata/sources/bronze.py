@@ -12,43 +12,38 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from strata import vocab
 from strata.functions.stamps import load_timestamp
 
 
+#: Prefix of the folder columns of a partitioned table; the column itself stays in the files.
+PARTITION = "_part_"
+
+
 def row_id() -> Column:
+    """(file path, row index): unique, and the same on every re-execution of a task."""
     return F.struct(F.col("_metadata.file_path").alias("file"),
                     F.col("_metadata.row_index").alias("row"))
 
 
-def _flat(spark: SparkSession, path: str) -> bool:
-    """True when the table keeps its data files directly in ``path`` (no partition
-    folders), so file *names* are unique within it. One listing, metadata only."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return not any(st.isDirectory() and not st.getPath().getName().startswith(("_", "."))
-                   for st in fs.listStatus(root))
-
-
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """Bronze Parquet table with its stable ``_row_id``.
 
-    A table written whole by ``write_bronze`` stores a compact id (one long). Any other
-    bronze table (for example one appended by the ingest stream) gets an exact id from
-    ``_metadata``: (file name, row index) when the table is flat, where names are
-    unique, else (file path, row index).
+    A table written whole by ``write_bronze`` stores a compact id (one long); one appended by the
+    ingest stream gets its exact id from ``_metadata``. A partitioned table reads like a flat one:
+    folder values only prune, since a folder name cannot tell an empty text from NULL or a
+    date from a text.
     """
     df = spark.read.parquet(path)
-    if vocab.ROW_ID in df.columns:
-        return df
-    if _flat(spark, path):
-        rid = F.struct(F.col("_metadata.file_name").alias("file"),
-                       F.col("_metadata.row_index").alias("row"))
-        return df.select("*", rid.alias(vocab.ROW_ID))
-    return df.select("*", row_id().alias(vocab.ROW_ID))
+    if vocab.ROW_ID not in df.columns:
+        df = df.select("*", row_id().alias(vocab.ROW_ID))
+    return df.drop(*[c for c in df.columns if c.startswith(PARTITION)])
+
+
+def partitioned(df: DataFrame, column: str) -> tuple[DataFrame, str]:
+    """``df`` with a folder column for ``column``, and that column's name."""
+    return df.withColumn(PARTITION + column, F.col(column)), PARTITION + column
 
 
 def write_bronze(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -63,20 +58,6 @@ def write_bronze(df: DataFrame, path: str, files: int | None = None) -> None:
     df.withColumn(vocab.ROW_ID, F.monotonically_increasing_id()).write.mode("overwrite").parquet(path)
 
 
-def with_row_id(df: DataFrame) -> DataFrame:
-    """Attach ``_row_id`` to a frame read straight from files; otherwise fall back to
-    ``monotonically_increasing_id`` (stable only for deterministic inputs such as local
-    relations: prefer ``read_bronze``)."""
-    if vocab.ROW_ID in df.columns:
-        return df
-    if df.inputFiles():
-        try:
-            return df.select("*", row_id().alias(vocab.ROW_ID))
-        except AnalysisException:
-            pass
-    return df.withColumn(vocab.ROW_ID, F.monotonically_increasing_id())
-
-
 def with_audit(df: DataFrame, source_file: Column | str | None = None,
                as_of: dt.datetime | dt.date | str | None = None) -> DataFrame:
     """Append the bronze audit columns.

@@ -47,18 +47,13 @@ def write_csv(df: DataFrame, path: str, delimiter: str = ",", header: bool = Tru
        .csv(path))
 
 
-def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite",
-                      max_records: int | None = None) -> None:
+def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Multiline-JSON landing files: each output file is one JSON array of records.
 
     Records are encoded JVM-side (``to_json``); a per-partition Pandas pass only adds
-    the brackets and commas, so every partition becomes one array file. With
-    ``max_records`` the rows are first spread round-robin over enough partitions that
-    no file holds more (one scalar count on the driver).
+    the brackets and commas, so every partition becomes one array file; repartition
+    ``df`` to size the files.
     """
-    if max_records:
-        parts = max(1, -(-df.count() // max_records))
-        df = df.repartition(parts)
     def json_array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Defined here so it is shipped to the workers by value (workers need not
         # import this package). Streams batch by batch, holding back only the last

@@ -42,3 +42,15 @@ def same_as_oracle(spark_df, con, sql):
         sa, sb = set(a), set(b)
         raise AssertionError(f"value mismatch; spark-only {list(sa - sb)[:3]} oracle-only {list(sb - sa)[:3]}")
     return hashlib.sha1("\n".join(a).encode()).hexdigest()
+
+
+def stored_bronze(spark, df):
+    """The frame as a stored bronze table, whose row ids are fixed."""
+    import uuid
+
+    from strata.session import checkpoint_root
+    from strata.sources.bronze import read_bronze, write_bronze
+
+    path = f"{checkpoint_root(spark)}/tests/{uuid.uuid4().hex}"
+    write_bronze(df, path)
+    return read_bronze(spark, path)

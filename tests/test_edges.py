@@ -13,12 +13,12 @@ from strata.operators.entities import DUP, MERCHANTS, TRANSACTIONS, USERS
 from strata.operators.governance import secure_view
 from strata.operators.quarantine import rejected, unaccounted
 from strata.operators.silver import silver
-from strata.sources.bronze import with_row_id
+from tests.helpers import stored_bronze
 
 
 def frame(spark, rows, columns):
     df = spark.createDataFrame([tuple(r) for r in rows], vocab.string_schema(columns))
-    return with_row_id(df)
+    return stored_bronze(spark, df)
 
 
 def tx(**kw):
@@ -36,7 +36,7 @@ def test_amounts(spark):
            df.select("amount", amount_value("amount").alias("v"), clean_amount("amount").alias("c")).collect()}
     assert out["12.50"] == (Decimal("12.50"), Decimal("12.50"))
     assert out["0.50"] == (Decimal("0.50"), Decimal("0.50"))       # not truncated to 0
-    assert out["-5"] == (Decimal("-5.00"), Decimal("5.00"))
+    assert out["-5"] == (Decimal("-5.00"), Decimal("-5.00"))       # the value that is tested is stored
     assert out["$100"] == (None, Decimal("100.00"))
     assert out["1.2.3"] == (None, None)                            # no ANSI error
     assert out[""] == (None, None)
@@ -176,3 +176,18 @@ def test_salted_fact_join_equals_plain(spark):
     plain = G.fact_transactions(tx, m, None, AS_OF)
     salted = G.fact_transactions(tx, m, None, AS_OF, salts=8)
     assert multiset(plain.columns, plain.collect()) == multiset(salted.columns, salted.collect())
+
+
+def test_enrich_channel_keeps_every_dimension_row(spark):
+    from strata.operators.gold import enrich_channel
+
+    tx_rows = spark.createDataFrame([("T1", "kiosk"), ("T2", "web"), ("T3", "none")], "transaction_id string, channel string")
+    dim = spark.createDataFrame([(99, "kiosk"), (1, "web")], "channel_id int, des_channel string")
+    assert {(r.transaction_id, r.channel_id) for r in enrich_channel(tx_rows, dim).collect()} == {("T1", 99), ("T2", 1), ("T3", None)}
+
+
+def test_stored_amount_is_the_tested_value(spark):
+    amounts = ["1e5", "1E-1", "5e-1", "1.5e3", "12.50", "$100"]
+    raw = frame(spark, [tx(transaction_id=f"T{i}", amount=a) for i, a in enumerate(amounts)], vocab.TRANSACTION_COLUMNS)
+    got = {r.transaction_id: str(r.amount) for r in silver(raw, TRANSACTIONS).collect()}
+    assert got == {"T0": "100000.00", "T1": "0.10", "T2": "0.50", "T3": "1500.00", "T4": "12.50"}

@@ -15,8 +15,7 @@ from strata import oracle, vocab
 from strata.operators.entities import MERCHANTS, TRANSACTIONS, USERS
 from strata.operators.quarantine import parse_record, rejected, unaccounted
 from strata.operators.silver import silver
-from strata.sources.bronze import with_row_id
-from tests.helpers import multiset
+from tests.helpers import multiset, stored_bronze
 
 AS_OF = "2024-12-31"
 
@@ -26,7 +25,7 @@ TX_VALUES = {
     "merchant_id": ["M1", "M2", None],
     "channel": ["web", "APP", "Pos", "kiosk", " web", None],
     "transaction_type": ["pago", "reversa", "REVERSA", "Retiro", "cobro", None],
-    "amount": ["12.50", "0.50", "0", "-5.00", "S/ 10.00", "1.2.3", "", None],
+    "amount": ["12.50", "0.50", "0", "-5.00", "S/ 10.00", "1.2.3", "1e5", "1E-1", "5e-1", "1.5e3", "", None],
     "currency": ["PEN", "usd", "Mxn", "EUR", None],
     "transaction_date": ["2024-01-19", "19/01/2024", "2024-02-30", "2024-1-5", "not-a-date", "", None],
     "status": ["aprobado", "APROBADO", "pendiente", "rechazado", "anulado", None],
@@ -59,7 +58,7 @@ def rows_of(values, columns):
 
 
 def spark_frame(spark, rows, columns):
-    return with_row_id(spark.createDataFrame(rows, vocab.string_schema(columns)))
+    return stored_bronze(spark, spark.createDataFrame(rows, vocab.string_schema(columns)))
 
 
 def duck_table(con, name, rows, columns):

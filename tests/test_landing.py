@@ -82,6 +82,7 @@ def test_manifest_and_schema_files(scratch):
 
 def test_ingest_partitioned_by_declared_column(spark, scratch):
     """The manifest's partition column, applied on request, gives one folder per value."""
+    from strata.sources.bronze import read_bronze
     from strata.sources.testdata import fixture_manifest, raw_frame, write_fixture_landing
     from strata.streaming.ingest import start_ingest
     from tests.conftest import SF_SMALL
@@ -94,8 +95,8 @@ def test_ingest_partitioned_by_declared_column(spark, scratch):
     q.awaitTermination()
     assert q.exception() is None
     folders = {p.split("=")[0] for p in os.listdir(local(scratch) + "/bronze_users") if "=" in p}
-    assert folders == {"country"}
-    got = spark.read.parquet(f"{scratch}/bronze_users").select(*vocab.USER_COLUMNS)
+    assert folders == {"_part_country"}
+    got = read_bronze(spark, f"{scratch}/bronze_users").select(*vocab.USER_COLUMNS)
     want = raw_frame(spark, SF_SMALL, "users")
     assert multiset(got.columns, got.collect()) == multiset(want.columns, want.collect())
 
@@ -113,21 +114,45 @@ def test_bronze_row_ids_unique_flat_and_partitioned(spark, scratch):
     for name in ("flat", "parted"):
         b = read_bronze(spark, f"{scratch}/{name}")
         assert b.select(vocab.ROW_ID).distinct().count() == b.count() == 1000
-    flat_id = read_bronze(spark, f"{scratch}/flat").select(f"{vocab.ROW_ID}.file").first()[0]
-    parted_id = read_bronze(spark, f"{scratch}/parted").select(f"{vocab.ROW_ID}.file").first()[0]
-    assert "/" not in flat_id and "p=" in parted_id   # name only when flat, full path otherwise
 
 
-def test_json_arrays_bounded_by_record_count(spark, scratch):
-    import json
+def test_partitioned_bronze_reads_like_a_flat_one(spark, scratch):
+    """Empty texts stay apart from NULL and dates stay texts, so verdicts do not change."""
+    from strata.operators.entities import MERCHANTS
+    from strata.operators.quarantine import parse_record, rejected
+    from strata.operators.silver import silver
+    from strata.sources.bronze import partitioned, read_bronze
+    from tests.helpers import multiset
+
+    rows = [(f"M{i}", "Shop", "retail", ["", None, "PE", "co", "US"][i % 5], f"2024-01-{i + 1:02d}", "activo", "bajo") for i in range(20)]
+    df = spark.createDataFrame(rows, vocab.MERCHANTS_SCHEMA)
+    df.write.parquet(f"{scratch}/flat")
+    for column in ("country", "affiliation_date"):
+        parted, folder = partitioned(df, column)
+        parted.write.partitionBy(folder).parquet(f"{scratch}/{column}")
+        flat, read = (read_bronze(spark, f"{scratch}/{n}") for n in ("flat", column))
+        assert read.columns == flat.columns and read.dtypes[:-1] == flat.dtypes[:-1]
+        for build in (lambda b: silver(b, MERCHANTS, "2024-12-31"), lambda b: parse_record(rejected(b, MERCHANTS), MERCHANTS)):
+            got, want = build(read), build(flat)
+            assert multiset(got.columns, got.collect()) == multiset(want.columns, want.collect())
+
 
-    from strata.sources.landing import write_json_arrays
+def test_manifest_settings_are_honoured(spark, scratch):
+    """The declared checkpoint folder and partition column are used end to end."""
+    from dataclasses import replace
 
-    df = spark.range(0, 1000).selectExpr("CAST(id AS STRING) AS a", "'x' AS b", "CAST(NULL AS STRING) AS c")
-    write_json_arrays(df, f"{scratch}/arrays", max_records=128)
-    d = local(scratch) + "/arrays"
-    sizes = [len(json.load(open(os.path.join(d, f)))) for f in os.listdir(d)
-             if f.startswith("part-") and os.path.getsize(os.path.join(d, f)) > 0]
-    assert sum(sizes) == 1000 and max(sizes) <= 128
-    back = read_landing(spark, spec(d, "json", multiline=True), SCHEMA)
-    assert back.count() == 1000 and back.filter("c IS NOT NULL").count() == 0
+    from strata.sources.bronze import read_bronze
+    from strata.sources.testdata import fixture_manifest, write_fixture_landing
+    from strata.streaming.ingest import ingest_manifest
+    from tests.conftest import SF_SMALL
+
+    write_fixture_landing(spark, SF_SMALL, f"{scratch}/src")
+    specs = [replace(s, checkpoint_path=f"{scratch}/declared/{s.source_name}") for s in fixture_manifest(f"{scratch}/src") if s.source_name != "transactions"]
+    schemas = {"users": vocab.USERS_SCHEMA, "merchants": vocab.MERCHANTS_SCHEMA}
+    for _ in range(2):
+        paths = ingest_manifest(spark, specs, f"{scratch}/b", schemas, declared=True, files_per_batch=1)
+    for s in specs:
+        assert os.path.isdir(f"{local(scratch)}/declared/{s.source_name}/offsets")
+        assert any(n.startswith("_part_") for n in os.listdir(local(paths[s.table_name])))
+        landed = read_bronze(spark, paths[s.table_name])
+        assert landed.count() == landed.select(vocab.ROW_ID).distinct().count() > 0

@@ -2,13 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from strata.oracle import ORACLE
+from strata.plans.queries import REGISTRY as QUERIES
 from tests.conftest import SF_MID, SF_SMALL
 from tests.helpers import duck, same_as_oracle
 
-ORACLE = oracle_sql()
-QUERIES = queries()
-
 
 @pytest.fixture(scope="module")
 def con_small():

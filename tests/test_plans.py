@@ -1,9 +1,9 @@
 """Plan shape: what would matter at scale."""
 
-from __spark_entry__ import queries
+from strata.plans.queries import REGISTRY
 from tests.conftest import SF_SMALL
 
-QUERIES = queries()
+QUERIES = dict(REGISTRY)
 
 
 def plan(df) -> str:

@@ -10,7 +10,7 @@ from strata.operators.silver import silver
 from strata.sources.bronze import read_bronze
 from strata.sources.landing import publish_files, write_csv, write_json_arrays
 from strata.sources.testdata import fixture_manifest, raw_frame
-from strata.streaming.fact import daily_fact, start_daily_fact
+from strata.streaming.fact import daily_fact, late_rows, read_daily_fact, start_closed_days, start_daily_fact
 from strata.streaming.ingest import ingest_manifest
 from strata.streaming.silver import latest_version, read_silver, run_silver_stream
 from tests.conftest import SF_SMALL
@@ -75,29 +75,42 @@ def test_ingest_and_silver_stream_equal_batch(spark, scratch):
         assert spark.read.parquet(paths[s.table_name]).count() == seen[s.source_name]
 
 
-def test_daily_fact_stream_appends_closed_days(spark, scratch):
+def _fact_drops(spark, scratch):
+    """Silver transactions in three drops that are out of order; every drop holds rows without a date."""
     bronze = {n: raw_frame(spark, SF_SMALL, n) for n in ("transactions", "merchants")}
-    tx = silver(bronze["transactions"], TRANSACTIONS, AS_OF).filter(F.col("transaction_date").isNotNull())
-    merchants = silver(bronze["merchants"], MERCHANTS, AS_OF)
-    cut = dt.date(2024, 6, 30)
-    tx.filter(F.col("transaction_date") <= F.lit(cut)).write.parquet(f"{scratch}/tx/a")
-    tx.filter(F.col("transaction_date") > F.lit(cut)).write.parquet(f"{scratch}/tx/b")
-    stream_dir = f"{scratch}/tx_stream"
-    schema = spark.read.parquet(f"{scratch}/tx/a").schema
-    out, ckpt = f"{scratch}/fact_out", f"{scratch}/fact_ckpt"
-    for part in ("a", "b"):
-        publish_files(spark, f"{scratch}/tx/{part}", stream_dir, f"{part}-")
-        q = start_daily_fact(spark.readStream.schema(schema).parquet(stream_dir), merchants, out, ckpt)
+    tx, merchants = silver(bronze["transactions"], TRANSACTIONS, AS_OF), silver(bronze["merchants"], MERCHANTS, AS_OF)
+    late, part = F.col("transaction_date") < F.lit(dt.date(2024, 3, 1)), F.pmod(F.xxhash64("transaction_id"), F.lit(3))
+    drop = F.when(late & (part != 1), 2).otherwise(part)  # most old rows come last
+    for k in range(3):
+        tx.filter(drop == k).write.parquet(f"{scratch}/tx/{k}")
+        assert spark.read.parquet(f"{scratch}/tx/{k}").filter("transaction_date IS NULL").count() > 0
+    return merchants
+
+
+def test_daily_fact_stream_equals_batch_in_every_row(spark, scratch):
+    merchants = _fact_drops(spark, scratch)
+    landing, out, ckpt = f"{scratch}/tx_stream", f"{scratch}/fact_out", f"{scratch}/fact_ckpt"
+    schema = spark.read.parquet(f"{scratch}/tx/0").schema
+    for k in range(3):
+        publish_files(spark, f"{scratch}/tx/{k}", landing, f"{k}-")
+        q = start_daily_fact(spark.readStream.schema(schema).parquet(landing), out, ckpt)
         q.awaitTermination()
         assert q.exception() is None
-    emitted = spark.read.parquet(out)
-    expected = daily_fact(spark.read.parquet(stream_dir), merchants)
-    cols = expected.columns
-    got, want = rows(emitted, cols), rows(expected, cols)
-    assert set(got) <= set(want) and len(got) == len(set(got))
-    max_day = spark.read.parquet(stream_dir).agg(F.max("transaction_date")).first()[0]
-    closed = expected.filter(F.col("transaction_date") <= F.lit(max_day - dt.timedelta(days=2)))
-    assert set(rows(closed, cols)) <= set(got)
+        expected, got = daily_fact(spark.read.parquet(landing), merchants), read_daily_fact(spark, out, merchants)
+        assert sorted(rows(got, expected.columns), key=str) == sorted(rows(expected, expected.columns), key=str)
+
+
+def test_closed_days_are_opt_in_and_count_what_they_drop(spark, scratch):
+    merchants = _fact_drops(spark, scratch)
+    landing, lost = f"{scratch}/tx_stream", 0
+    schema = spark.read.parquet(f"{scratch}/tx/0").schema
+    for k in range(3):
+        publish_files(spark, f"{scratch}/tx/{k}", landing, f"{k}-")
+        q = start_closed_days(spark.readStream.schema(schema).parquet(landing), merchants, f"{scratch}/closed", f"{scratch}/closed_ckpt", "1 day")
+        q.awaitTermination()
+        assert q.exception() is None
+        lost += late_rows(q)
+    assert lost > 0
 
 
 def test_transactions_pipeline_stream_equals_batch(spark, scratch):
