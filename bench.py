@@ -76,7 +76,8 @@ def skewed(raw: DataFrame, hot) -> DataFrame:
 
 def window_rank(raw: DataFrame) -> DataFrame:
     e = TRANSACTIONS
-    w = Window.partitionBy(e.key).orderBy(e.priority().desc(), F.col(e.date).desc_nulls_last())
+    w = Window.partitionBy(e.key).orderBy(
+        e.priority().desc(), *[F.col(c).desc_nulls_last() for c in (e.date, *(c for c in raw.columns if c not in (e.key, e.date)))])
     return raw.withColumn("_rn", F.row_number().over(w)).withColumn("_dup", F.col("_rn") > 1)
 
 

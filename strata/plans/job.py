@@ -15,21 +15,39 @@ import sys
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata import vocab
+from strata.operators.entities import ENTITIES
 from strata.plans.medallion import build
 from strata.plans.publish import publish
-from strata.sources.bronze import read_bronze
+from strata.sources.bronze import read_bronze, with_audit
 from strata.sources.manifest import SourceSpec, load_manifest
 from strata.streaming.ingest import ingest_manifest
 
 
 def run_job(spark: SparkSession, specs: Iterable[SourceSpec], root: str, schemas=None, as_of=None,
             writer_groups: Iterable[str] = (), run_id: str | None = None) -> dict[str, DataFrame]:
-    paths = ingest_manifest(spark, list(specs), f"{root}/bronze", schemas, as_of)
-    bronze = {name: read_bronze(spark, path) for name, path in paths.items()}
+    """Ingest what is active, then publish all entities as one version.
+
+    An entity whose source is inactive keeps its rows of earlier runs, or has none; sources that
+    are no entity are ingested into bronze only.
+    """
+    ingest_manifest(spark, list(specs), f"{root}/bronze", schemas, as_of)
+    bronze = {name: landed(spark, f"{root}/bronze/{name}", ENTITIES[name].columns) for name in ENTITIES}
     return publish(build(bronze, as_of, writer_groups), root, as_of, writer_groups, run_id=run_id)
 
 
+def landed(spark: SparkSession, path: str, columns: Iterable[str]) -> DataFrame:
+    """The bronze table at ``path``; without one, or one without rows yet, an empty frame of its form."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(hadoop) and any(not s.getPath().getName().startswith("_") for s in fs.listStatus(hadoop)):
+        return read_bronze(spark, path)
+    empty = with_audit(spark.createDataFrame([], vocab.string_schema(columns)), "")
+    return empty.withColumn(vocab.ROW_ID, F.monotonically_increasing_id())
+
+
 def main(argv: list[str]) -> None:
     from strata.session import get_spark
 

@@ -1,16 +1,18 @@
-"""Writing layers: overwrite-and-read-back snapshots, and a full batch run.
+"""Publishing layers as whole versions: new folders first, then one marker for all tables.
 
-Every write goes below a root the caller passes (on a cluster: a shared folder such as
-``spark.checkpoint.dir``), never to a machine-local temp folder. A written table also
-cuts lineage: a lost executor re-reads files instead of recomputing the pipeline.
+Every run writes below its own version folder and nothing is overwritten. The set becomes visible
+by one marker, written last; a run that fails leaves the marker of the version before, so readers
+always see one consistent set. Every write goes below a root the caller passes (on a cluster a
+shared folder), and a written table cuts lineage: a lost executor re-reads files.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.entities import ENTITIES
 from strata.operators.observe import expectations, observed, run_log
@@ -29,6 +31,51 @@ def materialize(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     return df.sparkSession.read.parquet(path)
 
 
+def _filesystem(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return hadoop, hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _mark(spark: SparkSession, root: str, run_id: str, tables: dict[str, str]) -> None:
+    """Make a version visible: a file that appears whole, by a rename."""
+    hadoop, fs = _filesystem(spark, root)
+    part, marker = hadoop(f"{root}/_published/.{run_id}.part"), hadoop(f"{root}/_published/{run_id}.json")
+    out = fs.create(part, True)
+    out.write(bytearray(json.dumps(tables).encode()))
+    out.close()
+    if not fs.rename(part, marker):
+        raise OSError(f"cannot publish {marker}: a run of this id was published before")
+
+
+def versions(spark: SparkSession, root: str) -> list[str]:
+    """Ids of the published versions, oldest first."""
+    hadoop, fs = _filesystem(spark, root)
+    if not fs.exists(hadoop(f"{root}/_published")):
+        return []
+    seen = [(s.getModificationTime(), s.getPath().getName()) for s in fs.listStatus(hadoop(f"{root}/_published"))]
+    return [name.removesuffix(".json") for _, name in sorted(seen) if name.endswith(".json") and not name.startswith(".")]
+
+
+def read_lake(spark: SparkSession, root: str, run_id: str | None = None) -> dict[str, DataFrame]:
+    """The tables of one published version, the newest by default."""
+    known = versions(spark, root)
+    if not known:
+        raise FileNotFoundError(f"nothing is published below {root}")
+    hadoop, fs = _filesystem(spark, root)
+    marker = spark.read.text(f"{root}/_published/{run_id or known[-1]}.json", wholetext=True).first()[0]
+    return {name: spark.read.parquet(path) for name, path in json.loads(marker).items()}
+
+
+def remove_versions(spark: SparkSession, root: str, keep: int) -> list[str]:
+    """Delete all published versions but the newest ``keep``, marker first; returns their ids."""
+    old = versions(spark, root)[: -keep or None]
+    hadoop, fs = _filesystem(spark, root)
+    for run_id in old:
+        fs.delete(hadoop(f"{root}/_published/{run_id}.json"), False)
+        fs.delete(hadoop(f"{root}/versions/{run_id}"), True)
+    return old
+
+
 def publish(layers: Layers, root: str, as_of=None, writer_groups: Iterable[str] = (),
             snapshots: bool = True, run_id: str | None = None) -> dict[str, DataFrame]:
     """Write winners (staging), silver, gap reports, quarantine, gold and gold snapshots.
@@ -36,14 +83,18 @@ def publish(layers: Layers, root: str, as_of=None, writer_groups: Iterable[str]
     The dedup winners are written once and re-read, so silver, quarantine and the gap
     report do not each recompute the dedup aggregate; gold reads the stored silver.
     Row counts and silver expectations are observed during the writes themselves and
-    appended to ``observability/run_log``. Returns table name -> stored DataFrame.
+    appended to ``observability/run_log``. Everything lies below ``versions/<run id>`` and is
+    seen by ``read_lake`` only once all of it is written. Returns table name -> stored DataFrame.
     """
     spark = next(iter(layers.bronze.values())).sparkSession
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
     checks = expectations()
     log: list[tuple[str, str, dict]] = []
+    base, root = root, f"{root}/versions/{run_id}"
+    paths: dict[str, str] = {}
 
     def write(df: DataFrame, layer: str, table: str, path: str) -> DataFrame:
+        paths[table] = path
         df, obs = observed(df, f"{run_id}:{table}", checks.get(table, ()))
         out = materialize(df, path)
         log.append((layer, table, obs.get))
@@ -66,8 +117,9 @@ def publish(layers: Layers, root: str, as_of=None, writer_groups: Iterable[str]
     if snapshots:
         for name in GOLD_SNAPSHOTS:
             stored[f"mv_{name}"] = write(stored[name], "Gold", f"mv_{name}", f"{root}/gold/mv_{name}")
-    run_log(spark, run_id, log).write.mode("append").parquet(f"{root}/observability/run_log")
-    stored["run_log"] = spark.read.parquet(f"{root}/observability/run_log")
+    run_log(spark, run_id, log).write.mode("append").parquet(f"{base}/observability/run_log")
+    _mark(spark, base, run_id, paths)
+    stored["run_log"] = spark.read.parquet(f"{base}/observability/run_log")
     return stored
 
 

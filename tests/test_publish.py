@@ -1,5 +1,7 @@
 """A full batch run writes every layer; stored tables equal the lazy plan."""
 
+from pyspark.sql import functions as F
+
 from strata.plans.medallion import SILVER_NAMES, build
 from strata.plans.publish import publish
 from strata.plans.queries import AS_OF
@@ -34,8 +36,6 @@ def test_publish_equals_lazy_layers(spark, scratch):
 
 
 def test_run_log_records_observed_counts(spark, scratch):
-    from pyspark.sql import functions as F
-
     stored = publish(build(fixture_bronzes(spark, SF_SMALL), AS_OF), scratch, AS_OF, run_id="r1")
     log = {(r.table_name, r.metric): r.value for r in stored["run_log"].filter(F.col("run_id") == "r1").collect()}
     for name in ("transactions_silver", "users_silver", "merchants_silver", "quarantine", "fact_transactions"):
@@ -65,3 +65,41 @@ def test_job_from_landing_files(spark, scratch):
     # a second run with no new landing file leaves bronze unchanged
     again = run_job(spark, fixture_manifest(f"{scratch}/src"), f"{scratch}/lake", schemas, AS_OF)
     assert again["transactions_silver"].count() == lazy.silver["transactions"].count()
+
+
+def test_failed_publish_leaves_the_whole_old_set(spark, scratch):
+    import pytest
+
+    from strata.plans.publish import read_lake, remove_versions, versions
+
+    first = publish(build(fixture_bronzes(spark, SF_SMALL), AS_OF), scratch, AS_OF, run_id="a")
+    before = {n: rows(df) for n, df in read_lake(spark, scratch).items()}
+    assert set(before) == set(first) - {"run_log"}
+    bronze = dict(fixture_bronzes(spark, SF_SMALL))
+    bronze["users"] = bronze["users"].withColumn("user_id", F.raise_error(F.lit("lost")).cast("string"))  # fails while it is written
+    with pytest.raises(Exception, match="lost"):
+        publish(build(bronze, AS_OF), scratch, AS_OF, run_id="b")
+    assert versions(spark, scratch) == ["a"]
+    assert {n: rows(df) for n, df in read_lake(spark, scratch).items()} == before
+    publish(build(fixture_bronzes(spark, SF_SMALL), AS_OF), scratch, AS_OF, run_id="c")
+    assert remove_versions(spark, scratch, keep=1) == ["a"] and versions(spark, scratch) == ["c"]
+    assert {n: rows(df) for n, df in read_lake(spark, scratch).items()} == before
+
+
+def test_job_with_an_inactive_and_an_extra_source(spark, scratch):
+    from dataclasses import replace
+
+    from strata import vocab
+    from strata.plans.job import run_job
+    from strata.sources.testdata import write_fixture_landing
+
+    specs = write_fixture_landing(spark, SF_SMALL, f"{scratch}/src")
+    schemas = {"transactions": vocab.TRANSACTIONS_SCHEMA, "users": vocab.USERS_SCHEMA, "merchants": vocab.MERCHANTS_SCHEMA, "more": vocab.USERS_SCHEMA}
+    users = next(s for s in specs if s.source_name == "users")
+    extra = replace(users, source_name="more", target_table=users.target_table.rsplit(".", 1)[0] + ".more_users")
+    some = [replace(s, active=s.source_name != "merchants") for s in specs] + [extra]
+    stored = run_job(spark, some, f"{scratch}/lake", schemas, AS_OF, run_id="one")
+    assert stored["merchants_silver"].count() == 0 and stored["fact_transactions"].count() > 0
+    whole = run_job(spark, specs, f"{scratch}/lake", schemas, AS_OF, run_id="two")
+    again = run_job(spark, some, f"{scratch}/lake", schemas, AS_OF, run_id="three")
+    assert rows(again["merchants_silver"]) == rows(whole["merchants_silver"]) != []
