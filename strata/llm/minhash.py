@@ -15,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -139,25 +138,91 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float)
     return sized.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
-def _tile_pairs(least: float):
-    """Pairs of two tiles' members that lie in different components and agree in enough registers."""
+def _packed(width: int):
+    """One row for a tile: its members' nodes, components, registers and weighted shingles."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(table: pa.Table) -> pa.Table:
+        doc, element, weight, _ = weighted_shingles(table.column("t").to_pylist(), width)
+        size = np.bincount(doc, minlength=table.num_rows)
+        cells = [table.column("bucket")[0], table.column("chunk")[0], table.column("rep").to_pylist(), table.column("comp").to_pylist(),
+                 b"".join(table.column("sig").to_pylist()), size.tolist(), element.astype("<u8").tobytes(), weight.astype("<u4").tobytes()]
+        kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int32()), pa.binary(), pa.binary()]
+        return pa.Table.from_arrays([pa.array([c.as_py() if isinstance(c, pa.Scalar) else c], k) for c, k in zip(cells, kinds, strict=True)], names=_TILE_NAMES)
+
+    return pack
+
+
+_TILE_NAMES = ["bucket", "chunk", "reps", "comps", "sigs", "sizes", "elements", "weights"]
+_TILE_SCHEMA = "bucket long, chunk int, reps array<long>, comps array<long>, sigs binary, sizes array<int>, elements binary, weights binary"
+
+
+class _Tile:
+    def __init__(self, row: dict, side: str):
+        self.reps, self.comps = row[f"reps_{side}"], row[f"comps_{side}"]
+        self.sigs = np.frombuffer(row[f"sigs_{side}"], "<u4").reshape(len(self.reps), -1)
+        cuts = np.cumsum(row[f"sizes_{side}"])[:-1]
+        self.sets = list(zip(np.split(np.frombuffer(row[f"elements_{side}"], "<u8"), cuts), np.split(np.frombuffer(row[f"weights_{side}"], "<u4"), cuts), strict=True))
+
+
+def _linked_tiles(threshold: float):
+    """Verified links between two tiles' members of different components, no more than join them up.
+
+    A pair is looked at in the first band only in which it meets, and if its registers do not rule
+    out the threshold by six standard deviations; a pair that is joined up already is left out.
+    """
+    least = threshold - 6 * (threshold * (1 - threshold) / (BANDS * ROWS)) ** 0.5
+
+    def links(row: dict) -> Iterator[tuple[int, int]]:
+        x = _Tile(row, "l")
+        y = _Tile(row, "r") if row["i"] != row["j"] else x
+        same = x.sigs[:, None, :] == y.sigs[None, :, :]
+        meets = same.reshape(*same.shape[:2], BANDS, ROWS).all(3)
+        here = (meets.argmax(2) == row["band"]) & meets.any(2) & (same.mean(2) >= least)
+        up: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while c in up:
+                c = up[c]
+            return c
+
+        for i, j in zip(*np.nonzero(here), strict=True):
+            a, b = top(x.comps[i]), top(y.comps[j])
+            if a != b and probability_jaccard(x.sets[i], y.sets[j]) >= threshold - 1e-12:
+                up[max(a, b)] = min(a, b)
+                yield max(x.reps[i], y.reps[j]), min(x.reps[i], y.reps[j])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.itertuples(index=False):
-                reps, comps = (np.array([m[k] for m in r.left]) for k in ("rep", "comp"))
-                x = np.stack([np.frombuffer(m["sig"], "<u4") for m in r.left])
-                reps2, comps2, y = reps, comps, x
-                if r.i != r.j:
-                    reps2, comps2 = (np.array([m[k] for m in r.right]) for k in ("rep", "comp"))
-                    y = np.stack([np.frombuffer(m["sig"], "<u4") for m in r.right])
-                agree = (x[:, None, :] == y[None, :, :]).mean(2)
-                i, j = np.nonzero((agree >= least) & (comps[:, None] != comps2[None, :]))
-                yield pd.DataFrame({"a": np.maximum(reps[i], reps2[j]), "b": np.minimum(reps[i], reps2[j])}).drop_duplicates()
+            found = [e for k in range(batch.num_rows) for e in links(batch.slice(k, 1).to_pylist()[0])]
+            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return run
 
 
+def _more_links(members: DataFrame, reps: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
+    """Links inside buckets (bucket, band, rep, comp, main, size) that join up several components.
+
+    A bucket's members are dealt by hash to tiles of bounded size, those in its centre's component
+    (``main``) apart. Two tiles of main members have nothing to join; all other pairs of tiles are compared,
+    each in a row of its own, and no pair of members leaves its task unless it is a link.
+    """
+    spark = members.sparkSession
+    dealt = members.withColumn("chunk", (2 * F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / TILE)) + F.col("main").cast("int")).cast("int"))
+    full = dealt.join(reps.select("rep", "sig"), "rep").join(texts, "rep").select("bucket", "chunk", "rep", "comp", "sig", "t")
+    tiles = stored(full.groupBy("bucket", "chunk").applyInArrow(_packed(width), _TILE_SCHEMA), "tiles")
+    index = dealt.select("bucket", "band", "chunk").distinct()
+    other = F.col("chunk") % 2 == 0
+    work = index.where(other).withColumnRenamed("chunk", "i").join(index.select("bucket", F.col("chunk").alias("j")), "bucket").where("j % 2 = 1 or i <= j")
+    side = lambda k, at: tiles.select("bucket", F.col("chunk").alias(at), *[F.col(c).alias(f"{c}_{k}") for c in _TILE_NAMES[2:]])
+    rows = work.join(side("l", "i"), ["bucket", "i"]).join(side("r", "j"), ["bucket", "j"])
+    name, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(name, "4")  # a row holds two tiles of texts
+    try:
+        return stored(rows.mapInArrow(_linked_tiles(threshold), "a long, b long").distinct(), "more-links")
+    finally:
+        spark.conf.set(name, before)
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(d, h, component, origin): for each row its key and hash of its text, its class and the row that stands for it.
 
@@ -173,7 +238,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
     reps = sigs.where("c1 <> 0").groupBy("c1", "c2").agg(F.min(key).alias("least"), F.first("sig").alias("sig"))
     reps = stored(reps.withColumn("rep", F.monotonically_increasing_id()), "texts")
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring(F.col("sig"), k * (4 * ROWS) + 1, F.lit(4 * ROWS))))
-    members = reps.select("rep", F.explode(bands).alias("bucket"))
+    members = reps.select("rep", F.posexplode(bands).alias("band", "bucket"))
     buckets = members.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("size")).where("size > 1")
     members = stored(members.join(buckets, "bucket"), "buckets")
     stars = stored(members.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), "stars")
@@ -184,18 +249,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
     edges = stored(_verified(stars, texts, width, threshold), "edges")
     classes = components(edges)
     # buckets of three or more that are still in several components
-    named = members.where("size > 2").join(classes, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "centre", "size", F.coalesce("component", "rep").alias("comp"))
-    split = named.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-    rest = stored(named.join(split, "bucket", "left_semi").where("rep <> centre"), "unresolved")
+    named = members.where("size > 2").join(classes, F.col("rep") == F.col("node"), "left").select("bucket", "band", "rep", "centre", "size", F.coalesce("component", "rep").alias("comp"))
+    split = named.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max(F.when(F.col("rep") == F.col("centre"), F.col("comp"))).alias("of_centre"))
+    rest = stored(named.join(split.where("x <> y"), "bucket").withColumn("main", F.col("comp") == F.col("of_centre")).select("bucket", "band", "rep", "comp", "main", "size"), "unresolved")
     if not rest.isEmpty():
-        chunk = F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / TILE)).cast("int")
-        tiles = rest.join(reps.select("rep", "sig"), "rep").groupBy("bucket", chunk.alias("chunk")).agg(F.collect_list(F.struct("rep", "comp", "sig")).alias("m"))
-        tiles = stored(tiles, "bucket-tiles")
-        both = tiles.select("bucket", F.col("chunk").alias("i"), F.col("m").alias("left")).join(tiles.select("bucket", F.col("chunk").alias("j"), F.col("m").alias("right")), "bucket").where("i <= j")
-        sigma = (threshold * (1 - threshold) / (BANDS * ROWS)) ** 0.5
-        more = both.select("i", "j", "left", "right").mapInPandas(_tile_pairs(threshold - 6 * sigma), "a long, b long").distinct()
-        more = stored(more.join(stars, ["a", "b"], "left_anti"), "more-pairs")
-        edges = edges.unionByName(_verified(more, texts, width, threshold))
+        edges = edges.unionByName(_more_links(rest, reps, texts, width, threshold))
         classes = components(edges)
     named = reps.join(classes, F.col("rep") == F.col("node"), "left").select("c1", "c2", "least", F.coalesce("component", "rep").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("origin"))
