@@ -110,3 +110,49 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.pii import personal_spans, span_digests
 
     return span_digests(personal_spans(table(spark, sf_dir, "documents")))
+
+
+ORACLE["op2_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT r.a AS vec_id, coalesce(any_value(d.n), 0) AS n_links, min(r.b) AS component_id, r.a = min(r.b) AS kept
+FROM reach r LEFT JOIN degree d ON d.a = r.a GROUP BY r.a
+"""
+
+#: Every run of lines with 50 words or more that is shortest from its first or to its last line, by its text.
+ORACLE["op10_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents),
+filled AS (SELECT *, len(regexp_extract_all(s, '[\p{L}\p{N}]+')) AS w FROM lines),
+placed AS (
+  SELECT *, row_number() OVER place AS p, sum(w) OVER place AS upto FROM filled WHERE w > 0
+  WINDOW place AS (PARTITION BY doc_id ORDER BY line)),
+ends AS (
+  SELECT a.doc_id, a.p AS first, min(b.p) AS last FROM placed a JOIN placed b ON a.doc_id = b.doc_id AND b.p BETWEEN a.p AND a.p + 49
+  WHERE b.upto - a.upto + a.w >= 50 GROUP BY ALL
+  UNION
+  SELECT a.doc_id, max(b.p), a.p FROM placed a JOIN placed b ON a.doc_id = b.doc_id AND b.p BETWEEN a.p - 49 AND a.p
+  WHERE a.upto - b.upto + b.w >= 50 GROUP BY a.doc_id, a.p),
+runs AS (
+  SELECT e.doc_id, e.first, e.last, string_agg(p.s, chr(10) ORDER BY p.p) AS content
+  FROM ends e JOIN placed p ON p.doc_id = e.doc_id AND p.p BETWEEN e.first AND e.last GROUP BY e.doc_id, e.first, e.last),
+later AS (SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, first) AS copy FROM runs),
+gone AS (
+  SELECT DISTINCT p.doc_id, p.line FROM later l JOIN placed p ON p.doc_id = l.doc_id AND p.p BETWEEN l.first AND l.last WHERE l.copy > 1),
+rest AS (
+  SELECT f.doc_id, count(*) AS n_lines, count(g.line) AS n_deleted, sum(CASE WHEN g.line IS NULL THEN f.w END) AS words,
+    string_agg(CASE WHEN g.line IS NULL THEN f.s END, chr(10) ORDER BY f.line) AS kept
+  FROM filled f LEFT JOIN gone g ON f.doc_id = g.doc_id AND f.line = g.line GROUP BY f.doc_id)
+SELECT d.doc_id, CASE WHEN r.n_deleted > 0 AND coalesce(r.words, 0) = 0 THEN '' WHEN r.n_deleted > 0 THEN r.kept ELSE d.text END AS text,
+  coalesce(r.n_lines, 0) AS n_lines, coalesce(r.n_deleted, 0) AS n_deleted
+FROM documents d LEFT JOIN rest r ON d.doc_id = r.doc_id
+"""

@@ -43,3 +43,11 @@ def test_components_of_paths_rings_and_stars(spark):
     out = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert out == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(7)}, **{200 + i: 200 for i in range(30)}, 500: 200, 700: 700, 701: 700}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_queries_match_their_sql(spark):
+    from tests.helpers import duck, same_as_oracle
+
+    con = duck("/root/testdata/sf0.01")
+    for name, sql in queries.ORACLE.items():
+        same_as_oracle(queries.REGISTRY[name](spark, "/root/testdata/sf0.01"), con, sql)
