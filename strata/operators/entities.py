@@ -23,6 +23,7 @@ from strata.functions.parse import amount_value, clean_amount, parse_date
 from strata.functions.stamps import load_date
 from strata.operators.rules import Rule
 
+VALID = "_valid"
 DUP = "_dup"  # NULL: key is NULL; False: the one winner of its key; True: a duplicate
 
 Condition = Callable[[Column], Column]
@@ -64,10 +65,14 @@ class Entity:
         """Silver predicate on a winner: every check holds (winners have a key already)."""
         return reduce(and_, (holds(F.col(f.name)) for f in self.fields for _, holds in f.checks))
 
-    def normalize(self, df: DataFrame, as_of=None) -> DataFrame:
-        """The stored form of each row, in silver order, with its load date."""
+    def normalize(self, df: DataFrame, as_of=None, *extra: Column) -> DataFrame:
+        """The stored form of each row, in silver order, with its load date and ``extra`` columns."""
         return df.select(self.key, *(f.stored(F.col(f.name)).alias(f.name) for f in self.fields),
-                         load_date(as_of).alias("_ingested_at"))
+                         load_date(as_of).alias("_ingested_at"), *extra)
+
+    def judged(self, winners: DataFrame, as_of=None) -> DataFrame:
+        """All winners in stored form, with ``_valid``: whether silver keeps the row."""
+        return self.normalize(winners, as_of, F.coalesce(self.valid(), F.lit(False)).alias(VALID))
 
 
 # ---------------------------------------------------------------- kinds of fields

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata import vocab
+from strata.operators.entities import VALID
 
 LAYER_ORDER = ("Bronze", "Silver", "Gold")
 
@@ -32,30 +33,30 @@ def expectations() -> dict[str, list[tuple[str, Column]]]:
 
 
 def expectation_counts(df: DataFrame, table: str, checks: Sequence[tuple[str, Column]],
-                       scope: str) -> DataFrame:
-    """One pass over ``df``: passed/failed per expectation (NULL counts as failed)."""
-    aggs = []
-    for name, cond in checks:
-        ok = F.coalesce(cond, F.lit(False))
-        aggs += [F.count_if(ok).alias(f"{name}__passed"), F.count_if(~ok).alias(f"{name}__failed")]
-    wide = df.agg(*aggs)
-    rows = [wide.select(F.lit(table).alias("table_name"), F.lit(name).alias("expectation"),
-                        F.lit(scope).alias("scope"),
-                        F.col(f"{name}__passed").alias("passed"),
-                        F.col(f"{name}__failed").alias("failed"))
-            for name, _ in checks]
-    return reduce(DataFrame.unionByName, rows)
-
-
-def expectation_metrics(outputs: Mapping[str, DataFrame],
-                        inputs: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Expectation counts on the silver outputs and, if given, on the normalized winners
-    before the validity filter (where failures carry information)."""
-    checks = expectations()
-    parts = [expectation_counts(df, t, checks[t], "output") for t, df in outputs.items()]
-    for t, df in (inputs or {}).items():
-        parts.append(expectation_counts(df, t, checks[t], "input"))
-    return reduce(DataFrame.unionByName, parts)
+                       scopes: Mapping[str, Column]) -> DataFrame:
+    """Passed and failed rows per expectation and scope (a condition on the row), in one aggregate.
+
+    A NULL expectation counts as failed.
+    """
+    cells, names = [], []
+    for scope, inside in scopes.items():
+        for name, cond in checks:
+            ok, at = F.coalesce(cond, F.lit(False)), len(names)
+            cells += [F.count_if(inside & ok).alias(f"p{at}"), F.count_if(inside & ~ok).alias(f"f{at}")]
+            names.append((name, scope))
+    rows = [F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("expectation"), F.lit(scope).alias("scope"),
+                     F.col(f"p{k}").alias("passed"), F.col(f"f{k}").alias("failed")) for k, (name, scope) in enumerate(names)]
+    return df.agg(*cells).select(F.inline(F.array(*rows)))
+
+
+def expectation_metrics(judged: Mapping[str, DataFrame]) -> DataFrame:
+    """Expectation counts of each silver table: on its rows (output) and on all winners before the
+    validity filter (input), where failures carry information.
+
+    ``judged`` holds the winners with their ``_valid`` flag, so both scopes share one pass.
+    """
+    checks, scopes = expectations(), {"output": F.col(VALID), "input": F.lit(True)}
+    return reduce(DataFrame.unionByName, [expectation_counts(df, t, checks[t], scopes) for t, df in judged.items()])
 
 
 def observed(df: DataFrame, name: str, checks: Sequence[tuple[str, Column]] = ()) -> tuple[DataFrame, Observation]:

@@ -119,10 +119,8 @@ def q_parse_dates(spark, sf_dir):
 @query("expectation_metrics")
 def q_expectation_metrics(spark, sf_dir):
     L = layers(spark, sf_dir)
-    outputs = {f"{n}_silver": L.silver[n] for n in ("transactions", "users", "merchants")}
-    inputs = {f"{n}_silver": ENTITIES[n].normalize(L.winners[n], AS_OF)
-              for n in ("transactions", "users", "merchants")}
-    return O.expectation_metrics(outputs, inputs)
+    return O.expectation_metrics({f"{n}_silver": ENTITIES[n].judged(L.winners[n], AS_OF)
+                                  for n in ("transactions", "users", "merchants")})
 
 
 # ---------------------------------------------------------------- dedup / rank

@@ -41,3 +41,9 @@ def test_projection_pruned_at_scan(spark):
     df = QUERIES["event_log_rollup"](spark, SF_SMALL)
     text = formatted(df)
     assert "ReadSchema: struct<event_type:string>" in text
+
+
+def test_expectations_deduplicate_each_table_once(spark):
+    text = plan(QUERIES["expectation_metrics"](spark, SF_SMALL))
+    final = [line for line in text.split("\n") if "Aggregate" in line and "max(struct" in line and "partial_max" not in line]
+    assert len(final) == 3, text
