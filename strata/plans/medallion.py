@@ -87,10 +87,9 @@ def build(bronze: Mapping[str, DataFrame], as_of=None, writer_groups: Iterable[s
     return Layers(bronze, as_of, writer_groups)
 
 
-def layer_tables(layers: Layers) -> list[tuple[str, str, DataFrame]]:
-    """The eleven tables the observability dataset counts, in its order."""
-    out = [("Bronze", n, layers.bronze[n]) for n in ("merchants", "transactions", "users")]
-    out += [("Silver", SILVER_NAMES[n], layers.silver[n]) for n in ("merchants", "transactions", "users")]
-    out += [("Gold", n, layers.gold[n]) for n in ("dim_channel", "dim_date", "dim_merchant",
-                                                   "dim_user", "fact_transactions")]
-    return out
+def stored_tables(bronze: Mapping[str, DataFrame], stored: Mapping[str, DataFrame]) -> list[tuple[str, str, DataFrame]]:
+    """The eleven tables the observability dataset counts: landed rows and published tables."""
+    sources = sorted(bronze)
+    gold = ("dim_channel", "dim_date", "dim_merchant", "dim_user", "fact_transactions")
+    return ([("Bronze", n, bronze[n]) for n in sources] + [("Silver", SILVER_NAMES[n], stored[SILVER_NAMES[n]]) for n in sources]
+            + [("Gold", n, stored[n]) for n in gold])

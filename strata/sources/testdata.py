@@ -13,7 +13,8 @@ import hashlib
 import os
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata import fixtures
 from strata.session import checkpoint_root
@@ -24,7 +25,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # pinned load instant for reproducible fixture runs
 FIXTURE_AS_OF = dt.datetime(2024, 12, 31, 0, 0, 0)
-_LAYOUT_VERSION = "v3"
+_LAYOUT_VERSION = "v4"
 _WRITE_LOCK = threading.Lock()  # one writer per fixture when queries run concurrently
 
 
@@ -48,8 +49,18 @@ def raw_frame(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return spark.sql(fixtures.raw_sql(entity, "spark"))
 
 
+KEYS = {"transactions": "transaction_id", "users": "user_id", "merchants": "merchant_id"}
+
+
+def _load_delay(key: str) -> Column:
+    """How long before ``FIXTURE_AS_OF`` a fixture row was loaded: 0, 20 or 40 days, by its key's last sign."""
+    return F.make_dt_interval(F.lit(20) * F.coalesce(F.ascii(F.substring(key, -1, 1)) % 3, F.lit(0)))
+
+
 def _bronze_dir(spark: SparkSession, sf_dir: str) -> str:
-    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+    """One folder for each state of the input: its path, sizes and times of change."""
+    paths = [table_path(sf_dir, t) for t in sorted({t for used in fixtures.RAW_INPUTS.values() for t in used})]
+    tag = hashlib.sha1(repr((os.path.abspath(sf_dir), _input_state(spark, paths))).encode()).hexdigest()[:12]
     return f"{checkpoint_root(spark)}/strata-bronze/{_LAYOUT_VERSION}-{tag}"
 
 
@@ -60,6 +71,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def _input_state(spark: SparkSession, paths) -> list[tuple[int, int]]:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    states = []
+    for p in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hpath.getFileSystem(conf)
+        states.append((fs.getContentSummary(hpath).getLength(), fs.getFileStatus(hpath).getModificationTime()))
+    return states
+
+
 def _input_bytes(spark: SparkSession, paths) -> int:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -85,7 +107,8 @@ def fixture_bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
             raw = raw_frame(spark, sf_dir, entity)
             inputs = [table_path(sf_dir, t) for t in fixtures.RAW_INPUTS[entity]]
             files = output_files(spark, _input_bytes(spark, inputs))
-            write_bronze(with_audit(raw, ",".join(inputs), FIXTURE_AS_OF), path, files)
+            landed = with_audit(raw, ",".join(inputs), FIXTURE_AS_OF)
+            write_bronze(landed.withColumn("_ingested_at", F.col("_ingested_at") - _load_delay(KEYS[entity])), path, files)
     return read_bronze(spark, path)
 
 

@@ -47,3 +47,15 @@ def test_expectations_deduplicate_each_table_once(spark):
     text = plan(QUERIES["expectation_metrics"](spark, SF_SMALL))
     final = [line for line in text.split("\n") if "Aggregate" in line and "max(struct" in line and "partial_max" not in line]
     assert len(final) == 3, text
+
+
+def test_dashboards_read_published_tables(spark):
+    for name in ("records_by_layer_table", "records_over_time", "total_rejected", "rejected_details"):
+        text = plan(QUERIES[name](spark, SF_SMALL))
+        assert "max(struct" not in text and "Join" not in text, name
+
+
+def test_load_dates_make_the_date_filter_count(spark):
+    whole, some = (QUERIES[n](spark, SF_SMALL) for n in ("records_by_layer_table", "records_date_range"))
+    assert some.agg({"record_count": "sum"}).first()[0] < whole.agg({"record_count": "sum"}).first()[0]
+    assert QUERIES["records_over_time"](spark, SF_SMALL).where("layer = 'Bronze'").count() == 3
