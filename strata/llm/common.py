@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
+from contextlib import suppress
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,13 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def release() -> None:
+    """Give memory that this worker no longer uses back to the system: workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only the GNU C library has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared folder of ``spark.checkpoint.dir``.
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Words, bounded_batches, byte_slices, free_name, mix64, shingles, stored
+from strata.llm.common import Words, bounded_batches, byte_slices, free_name, mix64, release, shingles, stored
 from strata.llm.components import components
 
 WIDTH = 5
@@ -112,6 +112,7 @@ def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataF
                 sig = (prob_minhash(doc, element, weight, b - a) >> np.uint64(32)).astype("<u4")
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(whole.view(np.int64)), pa.array(sums.view(np.int64)),
                                                   pa.array([r.tobytes() for r in sig], pa.binary())], names=["d", "h", "c1", "c2", "sig"])
+            release()
 
     text = F.col(text_col).cast("string")
     return docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64(text).alias("h"), text.alias("t")).mapInArrow(run, "d long, h long, c1 long, c2 long, sig binary")
@@ -133,6 +134,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float)
                 like = [probability_jaccard((element[side(x)], weight[side(x)]), (element[side(y)], weight[side(y)])) >= threshold - 1e-12 for x, y in zip(left[a:b], right[a:b], strict=True)]
                 rows = pa.array(np.flatnonzero(like) + a)
                 yield pa.RecordBatch.from_arrays([batch.column("a").take(rows), batch.column("b").take(rows)], names=["a", "b"])
+            release()
 
     sized = pairs.join(texts.select(F.col("rep").alias("b"), F.col("t").alias("tb")), "b").join(texts.select(F.col("rep").alias("a"), F.col("t").alias("ta")), "a")
     return sized.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")

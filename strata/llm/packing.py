@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bounded_batches
+from strata.llm.common import bounded_batches, release
 from strata.llm.tokens import Encoder
 
 SCHEMA = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
@@ -132,6 +132,8 @@ def pack(docs: DataFrame, tokenizer: str, width: int = 2048, end_id: int = 1, bl
                     names, held, size = [], [], 0
         if held:
             yield _emit(names, held, width, first)[0]
+        del held, names
+        release()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, SCHEMA)
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bounded_batches, free_name, remainder_is
+from strata.llm.common import bounded_batches, free_name, release, remainder_is
 
 STATS = ("bytes", "upper", "digit", "shout", "bar", "punctuation", "space", "word length", "longest word", "distinct words",
          "repeated lines", "line length", "compression", "marked words", "sentence ends", "top word")
@@ -57,7 +57,9 @@ def document_stats(text: str | None) -> list[float]:
 def stats_column(text: Column) -> Column:
     @F.pandas_udf("array<double>")
     def stats(texts: pd.Series) -> pd.Series:
-        return pd.Series([document_stats(t) for t in texts])
+        rows = pd.Series([document_stats(t) for t in texts])
+        release()
+        return rows
 
     return stats(text.cast("string"))
 
@@ -134,6 +136,7 @@ def score_quality(docs: DataFrame, model: Discriminant, out: str = "score", text
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         x = np.array([document_stats(t) for t in texts], float).reshape(-1, len(STATS))
+        release()
         return pd.Series(model.score(x))
 
     return docs.withColumn(free_name(docs, out), score(F.col(text_col).cast("string")))

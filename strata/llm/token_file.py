@@ -19,7 +19,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import bounded_batches, stored
+from strata.llm.common import bounded_batches, release, stored
 from strata.llm.tokens import Encoder
 
 MAGIC = b"STRTOKZ1"
@@ -143,6 +143,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             out = out or ShardWriter(store, path, f"{task.taskAttemptId()}", id_bytes, frame_ids)
             for key, ids in zip(batch.column(0).to_pylist(), np.split(flat, np.cumsum(n)[:-1]) if len(n) else [], strict=True):
                 out.add(key, np.append(ids, end_id))
+        release()
         if out:
             out.close()
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((shard, pa.int64()), (path, pa.string()), (len(out.docs), pa.int64()), (out.tokens, pa.int64()))], names=["shard", "path", "docs", "tokens"])

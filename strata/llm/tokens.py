@@ -24,7 +24,7 @@ _ENCODERS: dict[str, "Encoder"] = {}
 class Encoder:
     """Encodes batches of texts; holds at most ``max_words`` words in its cache (about 30 bytes each)."""
 
-    def __init__(self, path: str, max_words: int = 3_000_000):
+    def __init__(self, path: str, max_words: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -95,7 +95,7 @@ class Encoder:
         ends_at = np.cumsum(words_in) - 1
         return ids, np.diff(np.concatenate(([0], done[ends_at])))
 
-    def encode(self, texts: list[str | None], most: int = 4 << 20) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str | None], most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order as uint32, number of ids of each text); NULL is empty."""
         texts = [t or "" for t in texts]
         odd = np.fromiter((not t or _RUN.search(t) is not None for t in texts), bool, len(texts))
