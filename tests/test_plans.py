@@ -57,5 +57,5 @@ def test_dashboards_read_published_tables(spark):
 
 def test_load_dates_make_the_date_filter_count(spark):
     whole, some = (QUERIES[n](spark, SF_SMALL) for n in ("records_by_layer_table", "records_date_range"))
-    assert some.agg({"record_count": "sum"}).first()[0] < whole.agg({"record_count": "sum"}).first()[0]
+    assert some.agg({"total_records": "sum"}).first()[0] < whole.agg({"total_records": "sum"}).first()[0]
     assert QUERIES["records_over_time"](spark, SF_SMALL).where("layer = 'Bronze'").count() == 3
