@@ -255,8 +255,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
     split = named.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max(F.when(F.col("rep") == F.col("centre"), F.col("comp"))).alias("of_centre"))
     rest = stored(named.join(split.where("x <> y"), "bucket").withColumn("main", F.col("comp") == F.col("of_centre")).select("bucket", "band", "rep", "comp", "main", "size"), "unresolved")
     if not rest.isEmpty():
-        edges = edges.unionByName(_more_links(rest, reps, texts, width, threshold))
-        classes = components(edges)
+        more = _more_links(rest, reps, texts, width, threshold)
+        if not more.isEmpty():  # the classes so far are stars already, which leaves few rounds
+            known = classes.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+            classes = components(known.unionByName(more))
     named = reps.join(classes, F.col("rep") == F.col("node"), "left").select("c1", "c2", "least", F.coalesce("component", "rep").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("origin"))
     facts = stored(named.join(least, "component").select("c1", "c2", "component", "origin"), "classes")
