@@ -1,8 +1,9 @@
 """Benchmark decontamination by template canonicalisation, with DataFrame operations only.
 
 Numbers, names and units become typed placeholders; windows of the resulting templates are joined
-by hash with those of the benchmark. Where windows of one item line up in a document (equal
-distance between their places), the values in the slots are compared: a question that was
+by hash with those of the benchmark, with names as words too, so that the case of a copy does not
+matter. Where a window of an item lies in a document, all words of the item are compared with those
+beside them (a name on either side is one), and the values in the slots: a question that was
 re-parameterised replaces each value consistently, so one benchmark value must stand for one value
 of the document, wherever the matched text holds it.
 """
@@ -24,34 +25,84 @@ BROADCAST_WINDOWS = 1_000_000
 UNITS = ("km", "m", "cm", "mm", "mi", "ft", "in", "kg", "g", "mg", "lb", "oz", "l", "ml", "s", "ms", "min", "h", "hours", "minutes",
          "seconds", "days", "weeks", "months", "years", "miles", "meters", "metres", "feet", "inches", "dollars", "euros", "cents",
          "percent", "degrees", "usd", "eur", "hz", "khz", "mhz", "ghz", "kb", "mb", "gb", "tb", "w", "kw", "v", "mph", "kmh")
-#: Marks in front of slot values: private-use characters, which no word holds after cleaning.
-NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
+#: Marks in front of slot values: private-use characters, which no word holds after cleaning. START
+#: marks a capitalised word where a sentence, line, quote or bracket may begin: a name or not.
+NUMBER, NAME, UNIT, START, END = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004"
 
 
 def slots(text: Column) -> Column:
-    """Words of a text in order, lower case, with a mark in front of numbers, names and units.
+    """Words of a text in order, lower case, with a mark in front of numbers, units and capitalised words.
 
-    A name is a capitalised word that follows another word or a comma, not a sentence's end.
+    A capitalised word that follows another word or a comma is a name, elsewhere it has the mark START.
     """
-    clean = F.regexp_replace(text, "[\ue000-\ue002]", " ")
-    named = F.regexp_replace(clean, r"(?<=[\p{L}\p{N},;:] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", NAME + "$1")
-    counted = F.regexp_replace(named, r"(?<![\p{L}\p{N}.,])(\p{N}+(?:[.,]\p{N}+)*)", NUMBER + "$1")
+    clean = F.regexp_replace(text, rf"[\s\p{{Z}}{NUMBER}-{START}]+", " ")
+    counted = F.regexp_replace(clean, r"(?<![\p{L}\p{N}.,])(\p{N}+(?:[.,]\p{N}+)*)", NUMBER + "$1")
     measured = F.regexp_replace(counted, rf"(?<=\p{{N}} ?)((?i:{'|'.join(sorted(UNITS, key=len, reverse=True))}))(?![\p{{L}}\p{{N}}])", " " + UNIT + "$1")
-    return F.regexp_extract_all(F.lower(measured), F.lit(rf"{NUMBER}[\p{{N}}.,]*\p{{N}}|[{NAME}{UNIT}]?[\p{{L}}\p{{N}}]+"), F.lit(0))
+    named = F.regexp_replace(measured, r"(?<=[\p{L}\p{N},;:] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", NAME + "$1")
+    named = F.regexp_replace(named, rf"(?<![\p{{L}}\p{{N}}{NAME}{UNIT}])(\p{{Lu}}\p{{Ll}}+)(?![\p{{L}}\p{{N}}])", START + "$1")
+    return F.regexp_extract_all(F.lower(named), F.lit(rf"{NUMBER}[\p{{N}}.,]*\p{{N}}|[{NAME}-{START}]?[\p{{L}}\p{{N}}]+"), F.lit(0))
 
 
-def template(words: Column) -> Column:
-    """Hashes of the words, where a slot's value does not count but its type."""
-    return F.transform(words, lambda w: F.xxhash64(F.when((w >= NUMBER) & (w < "\ue003"), F.substring(w, 1, 1)).otherwise(w)))
+def _marked(w: Column) -> Column:
+    return (w >= NUMBER) & (w < END)
+
+
+def _plain(w: Column) -> Column:
+    return F.when(_marked(w), F.substring(w, 2, 1 << 30)).otherwise(w)
+
+
+def templates(words: Column) -> Column:
+    """Three arrays of word hashes; of a slot not the value counts but its type.
+
+    Numbers and units are slots in all, names in the second, and all capitalised words in the third.
+    The first matches copies whatever their case, the third names at the beginning of a sentence.
+    """
+    mark = lambda w: F.substring(w, 1, 1)
+    fixed = lambda w: F.when(mark(w).isin(NUMBER, UNIT), mark(w))
+    forms = (lambda w: fixed(w).otherwise(_plain(w)), lambda w: fixed(w).when(mark(w) == NAME, NAME).otherwise(_plain(w)), lambda w: fixed(w).when(_marked(w), NAME).otherwise(w))
+    return F.array(*[F.transform(words, (lambda f: lambda w: F.xxhash64(f(w)))(f)) for f in forms])
 
 
 def _windows(frame: DataFrame, width: int, place: str) -> DataFrame:
-    """One row for each window of the template column ``t``: its hash ``window`` and its ``place``.
+    """The distinct hashes ``window`` of each window of the templates ``t``, with its ``place``.
 
-    A text shorter than ``width`` words has no window.
+    A text shorter than ``width`` words has no window. In the third template at most half of a window may be names.
     """
-    hashes = F.when(F.size("t") >= width, F.transform(F.sequence(F.lit(1), F.size("t") - width + 1), lambda i: F.xxhash64(F.slice("t", i, width))))
-    return frame.select(*[c for c in frame.columns if c not in ("t", "s")], F.posexplode(hashes).alias(place, "window"))
+    part = lambda k, i: F.slice(F.get("t", F.lit(k)), i, width)
+    few = lambda i: F.size(F.filter(part(2, i), lambda x: x == F.xxhash64(F.lit(NAME)))) <= width // 2
+    third = lambda i: F.when(F.xxhash64(part(2, i)) != F.xxhash64(part(1, i)), F.when(few(i), F.xxhash64(part(2, i))))
+    size = F.size(F.get("t", F.lit(0)))
+    hashes = F.when(size >= width, F.transform(F.sequence(F.lit(1), size - width + 1), lambda i: F.array_compact(F.array_distinct(F.array(F.xxhash64(part(0, i)), F.xxhash64(part(1, i)), third(i))))))
+    rest = [c for c in frame.columns if c not in ("t", "s")]
+    return frame.select(*rest, F.posexplode(hashes).alias(place, "forms")).select(*rest, place, F.explode("forms").alias("window"))
+
+
+#: How the words of an item and a document at one place compare: by a name on one side only or one that
+#: may begin a sentence, by slots of one type, or as equal words.
+LOOSE, TYPED, EQUAL = 1, 2, 3
+
+
+def _compared(a: Column, b: Column) -> Column:
+    mark = lambda w: F.substring(w, 1, 1)
+    name, fixed = (lambda w: mark(w).isin(NAME, START)), (lambda w: mark(w).isin(NUMBER, UNIT))
+    typed = F.when(mark(a).isin(NUMBER, NAME, UNIT) & (mark(a) == mark(b)), TYPED).when((name(a) | name(b)) & ~fixed(a) & ~fixed(b), LOOSE)
+    return F.when(b.isNull(), 0).when(_plain(a) == _plain(b), EQUAL).otherwise(F.coalesce(typed, F.lit(0)))
+
+
+def _matched(least: int) -> Column:
+    """Places of the item in windows of which each word compares ``least`` at least, half of them more than LOOSE."""
+    part = lambda i: F.slice("c", i, F.col("width"))
+    good = lambda i: (F.array_min(part(i)) >= least) & (2 * F.size(F.filter(part(i), lambda x: x > LOOSE)) >= F.col("width"))
+    starts = F.filter(F.sequence(F.lit(1), F.col("size") - F.col("width") + 1), good)
+    return F.array_distinct(F.flatten(F.transform(starts, lambda i: F.sequence(i - 1, i + F.col("width") - 2))))
+
+
+def _consistent(places: Column) -> Column:
+    """Whether one slot value of the item stands for one value of the document at the ``places``."""
+    pairs = F.transform(places, lambda k: F.struct(F.get("theirs", k).alias("a"), F.get("b", k).alias("b")))
+    pairs = F.filter(pairs, lambda p: _marked(p.a) | _marked(p.b))
+    pairs = F.array_distinct(F.transform(pairs, lambda p: F.struct(_plain(p.a).alias("a"), _plain(p.b).alias("b"))))
+    return F.size(pairs) == F.size(F.array_distinct(F.transform(pairs, lambda p: p.a)))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text",
@@ -62,33 +113,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, coverage:
     as a whole, as one window of their own size.
     """
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), slots(F.col(item_text).cast("string")).alias("s")).where(F.size("s") > 0)
-    items = stored(items.withColumn("size", F.size("s")).withColumn("t", template(F.col("s"))).distinct().withColumn("row", F.monotonically_increasing_id()), "items")
+    items = stored(items.withColumn("size", F.size("s")).withColumn("t", templates(F.col("s"))).distinct().withColumn("row", F.monotonically_increasing_id()), "items")
     text = F.col(text_col).cast("string")
     base = docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64(text).alias("h"), text.alias("x")).where("x is not null")
+    words = base.select("d", "h", slots(F.col("x")).alias("s")).select("d", "h", templates(F.col("s")).alias("t"))
     found = None
     short = [r.size for r in items.where(F.col("size") < width).select("size").distinct().collect()]  # at most width - 1 numbers
     for n in sorted({*short, width}):
-        keys = _windows(items.where(F.col("size") >= width if n == width else F.col("size") == n).select("row", "size", "t"), n, "j")
+        keys = _windows(items.where(F.col("size") >= width if n == width else F.col("size") == n).select("row", "t"), n, "j")
         if keys.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
             keys = F.broadcast(keys)
-        places = _windows(base.select("d", "h", template(slots(F.col("x"))).alias("t")), n, "i")
-        hits = places.join(keys, "window").groupBy("d", "h", "row", "size", (F.col("i") - F.col("j")).alias("shift")).agg(F.collect_set("j").alias("j"))
+        hits = _windows(words, n, "i").join(keys, "window").groupBy("d", "h", "row").agg(F.collect_set(F.col("i") - F.col("j")).alias("shifts"))
         hits = hits.withColumn("width", F.lit(n))
         found = hits if found is None else found.unionByName(hits)
-    # matched words of the item: each window adds the words that the one before has not covered
-    ordered = F.array_sort("j")
-    steps = F.zip_with(F.slice(ordered, 2, F.size("j")), F.slice(ordered, 1, F.size("j") - 1), lambda b, a: F.least(b - a, F.col("width")))
-    found = found.withColumn("covered", F.aggregate(steps, F.col("width"), lambda s, x: s + x)).where(F.col("covered") >= coverage * F.col("size"))
-    found = stored(found.select("d", "h", "row", "shift", "covered", "width", F.array_sort("j").alias("j")), "matches")
-    # the slots: words of both sides, only for documents with a match
+    found = stored(found, "matches")
+    # the words of both sides, only for documents with a match: one row for each alignment, ``b`` beside the item's words
     held = found.select("d", "h").distinct().withColumnsRenamed({"d": "d2", "h": "h2"})
     texts = base.join(held, F.expr("d <=> d2 and h = h2"), "left_semi").dropDuplicates(["d", "h"]).select(F.col("d").alias("d2"), F.col("h").alias("h2"), slots(F.col("x")).alias("own"))
     both = found.join(texts, F.expr("d <=> d2 and h = h2")).join(items.select("row", "item", "size", F.col("s").alias("theirs")), "row")
-    matched = F.array_distinct(F.flatten(F.transform("j", lambda j: F.sequence(j, j + F.col("width") - 1))))
-    pairs = F.transform(matched, lambda k: F.struct(F.get(F.col("theirs"), k).alias("a"), F.get(F.col("own"), (k + F.col("shift")).cast("int")).alias("b")))
-    pairs = F.array_distinct(F.filter(pairs, lambda p: p.a >= NUMBER))
-    consistent = F.size(pairs) == F.size(F.array_distinct(F.transform(pairs, lambda p: p.a)))
-    good = both.withColumn("ok", consistent).where("ok")
+    beside = F.transform("shifts", lambda s: F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda k: F.get("own", (k + s).cast("int"))))
+    rows = both.select("d", "h", "row", "item", "size", "width", "theirs", F.explode(beside).alias("b")).withColumn("c", F.zip_with("theirs", "b", _compared))
+    rows = rows.withColumn("loose", _matched(LOOSE)).withColumn("typed", _matched(TYPED))
+    rows = rows.withColumn("places", F.when(_consistent(F.col("loose")), F.col("loose")).when(_consistent(F.col("typed")), F.col("typed")))
+    good = rows.withColumn("covered", F.size("places")).where(F.col("covered") >= coverage * F.col("size"))
     return good.groupBy("d", "h", "item", F.col("size").alias("words")).agg(F.max("covered").alias("covered"))
 
 

@@ -63,3 +63,19 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g h i j")], "doc_id long, text string")
     plan = mark_contaminated(docs, docs.withColumnRenamed("doc_id", "item_id"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+NAMES = "gave them to Anna and then Bob and later Carl before they met Dave in Rome on Monday"
+
+
+def flagged(spark, items, texts):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r["items"] for r in mark_contaminated(docs, bench).orderBy("doc_id").collect()]
+
+
+def test_names_do_not_depend_on_case_breaks_or_sentences(spark):
+    start = "Anna sold 12 pears. Bob paid for them (Carl did not) and \"Dave\" went away."
+    texts = [NAMES.lower(), NAMES.upper(), NAMES.replace(" and ", "\n and  "), start.lower(), start.replace("Anna", "Sue").replace("Bob", "Jim").replace("Carl", "Max").replace("Dave", "Ian"),
+             "gave them to one man but never told others before they left on a Monday in Rome"]
+    assert flagged(spark, [NAMES, start], texts) == [[0], [0], [0], [1], [1], []]
