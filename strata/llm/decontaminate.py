@@ -17,8 +17,10 @@ from strata.llm.common import free_name, stored
 
 #: Words of a template window.
 WINDOW = 8
-#: Share of an item's words that matched windows must cover, in one alignment.
+#: Share of an item's words that matched windows must cover, over all alignments.
 COVERAGE = 0.5
+#: So many equal words in a row are contaminated whatever share of the item they are.
+RUN = 13
 #: A benchmark of more windows than this is not broadcast but joined by shuffled hashes.
 BROADCAST_WINDOWS = 1_000_000
 #: Units of measure after a number: fixed values.
@@ -97,6 +99,15 @@ def _matched(least: int) -> Column:
     return F.array_distinct(F.flatten(F.transform(starts, lambda i: F.sequence(i - 1, i + F.col("width") - 2))))
 
 
+def _literal_run() -> Column:
+    """Words of the longest run of equal words."""
+    def step(s: Column, x: Column) -> Column:
+        now = F.when(x == EQUAL, s.now + 1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(s.most, now).alias("most"))
+
+    return F.aggregate("c", F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step, lambda s: s.most)
+
+
 def _consistent(places: Column) -> Column:
     """Whether one slot value of the item stands for one value of the document at the ``places``."""
     pairs = F.transform(places, lambda k: F.struct(F.get("theirs", k).alias("a"), F.get("b", k).alias("b")))
@@ -106,7 +117,7 @@ def _consistent(places: Column) -> Column:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text",
-          item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+          item_col: str = "item_id", item_text: str = "text", run: int = RUN) -> DataFrame:
     """(d, h, item, words, covered): documents that hold an item, with the item's size and matched words.
 
     ``d`` is the key and ``h`` the hash of the text. Items of fewer than ``width`` words are matched
@@ -135,7 +146,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, coverage:
     rows = both.select("d", "h", "row", "item", "size", "width", "theirs", F.explode(beside).alias("b")).withColumn("c", F.zip_with("theirs", "b", _compared))
     rows = rows.withColumn("loose", _matched(LOOSE)).withColumn("typed", _matched(TYPED))
     rows = rows.withColumn("places", F.when(_consistent(F.col("loose")), F.col("loose")).when(_consistent(F.col("typed")), F.col("typed")))
-    good = rows.withColumn("covered", F.size("places")).where(F.col("covered") >= coverage * F.col("size"))
+    rows = rows.withColumn("run", _literal_run() >= run).select("d", "h", "row", "item", "size", "run", F.coalesce("places", F.array().cast("array<int>")).alias("places"))
+    # each alignment adds its places: an inserted or deleted word shifts what follows
+    whole = rows.select("d", "h", "row", "item", "size", "run", F.explode_outer("places").alias("place")).groupBy("d", "h", "row", "item", "size").agg(F.count_distinct("place").alias("covered"), F.max("run").alias("run"))
+    good = whole.where(F.col("run") | (F.col("covered") >= coverage * F.col("size")))
     return good.groupBy("d", "h", "item", F.col("size").alias("words")).agg(F.max("covered").alias("covered"))
 
 
@@ -145,7 +159,7 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW
     All rows and columns stay; where a name is taken, underscores go in front of the new one.
     NULL and empty texts, and texts shorter than any item's window, are clean. NULL and empty
     benchmark texts match nothing; without a benchmark all rows are clean. Rows with equal key
-    and text are judged alike, NULL keys too; of several alignments one consistent one suffices.
+    and text are judged alike, NULL keys too; all consistent alignments of an item count together.
     """
     flag, found, key, hashed = (free_name(docs, x) for x in ("contaminated", "items", "_d", "_h"))
     held = leaks(docs, benchmark, width, coverage, id_col, text_col).groupBy("d", "h").agg(F.array_sort(F.collect_set("item")).alias(found))

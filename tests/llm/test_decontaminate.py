@@ -79,3 +79,13 @@ def test_names_do_not_depend_on_case_breaks_or_sentences(spark):
     texts = [NAMES.lower(), NAMES.upper(), NAMES.replace(" and ", "\n and  "), start.lower(), start.replace("Anna", "Sue").replace("Bob", "Jim").replace("Carl", "Max").replace("Dave", "Ian"),
              "gave them to one man but never told others before they left on a Monday in Rome"]
     assert flagged(spark, [NAMES, start], texts) == [[0], [0], [0], [1], [1], []]
+
+
+def test_alignments_count_together_and_long_runs_alone(spark):
+    words = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(59)]
+    item, short = " ".join(words), " ".join(words[:42])
+    edited = " ".join([*words[:14], "extra", *words[14:28], "more", *words[28:42]])
+    city = "they walked slowly from the old bridge to Paris where nobody had seen any snow since the winter of that very long war"
+    texts = [" ".join(words[20:45]), edited, " ".join(words[20:32]), city.replace("Paris", "New York")]
+    assert flagged(spark, [item], texts[:1] + texts[2:3]) == [[0], []]
+    assert flagged(spark, [short, city], [edited, texts[3]]) == [[0], [1]]
