@@ -5,7 +5,7 @@ by hash with those of the benchmark, with names as words too, so that the case o
 matter. Where a window of an item lies in a document, all words of the item are compared with those
 beside them (a name on either side is one), and the values in the slots: a question that was
 re-parameterised replaces each value consistently, so one benchmark value must stand for one value
-of the document, wherever the matched text holds it.
+of the document, wherever the matched text holds it. Where values conflict, literal windows count.
 """
 
 from __future__ import annotations
@@ -109,11 +109,15 @@ def _literal_run() -> Column:
 
 
 def _consistent(places: Column) -> Column:
-    """Whether one slot value of the item stands for one value of the document at the ``places``."""
-    pairs = F.transform(places, lambda k: F.struct(F.get("theirs", k).alias("a"), F.get("b", k).alias("b")))
+    """Whether one slot value of the item stands for one value of the document at the ``places``.
+
+    Equal numbers before different words or units are different quantities: 2 apples, 2 days.
+    """
+    pairs = F.transform(places, lambda k: F.struct(F.get("theirs", k).alias("a"), F.get("b", k).alias("b"), F.get("theirs", k + 1).alias("next")))
     pairs = F.filter(pairs, lambda p: _marked(p.a) | _marked(p.b))
-    pairs = F.array_distinct(F.transform(pairs, lambda p: F.struct(_plain(p.a).alias("a"), _plain(p.b).alias("b"))))
-    return F.size(pairs) == F.size(F.array_distinct(F.transform(pairs, lambda p: p.a)))
+    of = lambda p: F.when(F.substring(p.a, 1, 1) == NUMBER, _plain(F.coalesce(p.next, F.lit(""))))
+    pairs = F.array_distinct(F.transform(pairs, lambda p: F.struct(_plain(p.a).alias("a"), of(p).alias("of"), _plain(p.b).alias("b"))))
+    return F.size(pairs) == F.size(F.array_distinct(F.transform(pairs, lambda p: F.struct(p.a, p.of))))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text",
@@ -144,9 +148,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, coverage:
     both = found.join(texts, F.expr("d <=> d2 and h = h2")).join(items.select("row", "item", "size", F.col("s").alias("theirs")), "row")
     beside = F.transform("shifts", lambda s: F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda k: F.get("own", (k + s).cast("int"))))
     rows = both.select("d", "h", "row", "item", "size", "width", "theirs", F.explode(beside).alias("b")).withColumn("c", F.zip_with("theirs", "b", _compared))
-    rows = rows.withColumn("loose", _matched(LOOSE)).withColumn("typed", _matched(TYPED))
-    rows = rows.withColumn("places", F.when(_consistent(F.col("loose")), F.col("loose")).when(_consistent(F.col("typed")), F.col("typed")))
-    rows = rows.withColumn("run", _literal_run() >= run).select("d", "h", "row", "item", "size", "run", F.coalesce("places", F.array().cast("array<int>")).alias("places"))
+    rows = rows.withColumn("loose", _matched(LOOSE)).withColumn("typed", _matched(TYPED)).withColumn("equal", _matched(EQUAL))
+    # where slots conflict, literal windows still count
+    places = F.when(_consistent(F.col("loose")), F.col("loose")).when(_consistent(F.col("typed")), F.col("typed")).otherwise(F.col("equal"))
+    rows = rows.withColumn("places", places)
+    rows = rows.withColumn("run", _literal_run() >= run).select("d", "h", "row", "item", "size", "run", "places")
     # each alignment adds its places: an inserted or deleted word shifts what follows
     whole = rows.select("d", "h", "row", "item", "size", "run", F.explode_outer("places").alias("place")).groupBy("d", "h", "row", "item", "size").agg(F.count_distinct("place").alias("covered"), F.max("run").alias("run"))
     good = whole.where(F.col("run") | (F.col("covered") >= coverage * F.col("size")))

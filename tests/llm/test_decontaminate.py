@@ -89,3 +89,13 @@ def test_alignments_count_together_and_long_runs_alone(spark):
     texts = [" ".join(words[20:45]), edited, " ".join(words[20:32]), city.replace("Paris", "New York")]
     assert flagged(spark, [item], texts[:1] + texts[2:3]) == [[0], []]
     assert flagged(spark, [short, city], [edited, texts[3]]) == [[0], [1]]
+
+
+def test_one_conflict_leaves_literal_windows_and_other_quantities(spark):
+    apples = "every market stall sold 2 apples to each visitor while the fair went on for 2 days in the small town"
+    words = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(53)]
+    equal = " ".join([*words[:12], "31", words[12], *words[13:40], "31", words[12], *words[40:]])
+    texts = [apples.replace("2 apples", "3 apples").replace("2 days", "5 days"), equal.replace("31", "44", 1), equal.replace("31", "44")]
+    assert flagged(spark, [apples, equal], texts) == [[0], [1], [1]]
+    conflict = "the train travels 120 km in 2 hours how fast is it if Bob drives 120 km to Anna and Bob sees her"
+    assert flagged(spark, [conflict], [conflict.replace("120", "80", 1).replace("120", "90").replace("Bob", "Max", 1)]) == [[]]
