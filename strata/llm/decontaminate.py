@@ -53,30 +53,42 @@ def _plain(w: Column) -> Column:
     return F.when(_marked(w), F.substring(w, 2, 1 << 30)).otherwise(w)
 
 
-def templates(words: Column) -> Column:
-    """Three arrays of word hashes; of a slot not the value counts but its type.
+FORMS = ("t0", "t1", "t2")
 
-    Numbers and units are slots in all, names in the second, and all capitalised words in the third.
-    The first matches copies whatever their case, the third names at the beginning of a sentence.
+
+def _with_templates(frame: DataFrame) -> DataFrame:
+    """``frame`` with word hashes of the words ``s`` in three forms; of a slot not the value counts but its type.
+
+    Numbers and units are slots in all, names in ``t1``, and all capitalised words in ``t2``: ``t0``
+    matches copies whatever their case, ``t2`` names at the beginning of a sentence.
     """
-    mark = lambda w: F.substring(w, 1, 1)
-    fixed = lambda w: F.when(mark(w).isin(NUMBER, UNIT), mark(w))
-    forms = (lambda w: fixed(w).otherwise(_plain(w)), lambda w: fixed(w).when(mark(w) == NAME, NAME).otherwise(_plain(w)), lambda w: fixed(w).when(_marked(w), NAME).otherwise(w))
-    return F.array(*[F.transform(words, (lambda f: lambda w: F.xxhash64(f(w)))(f)) for f in forms])
+    name, mark = F.xxhash64(F.lit(NAME)), lambda w: F.substring(w, 1, 1)
+    out = frame.withColumn("t0", F.transform("s", lambda w: F.xxhash64(F.when(w < NUMBER, w).when(mark(w).isin(NUMBER, UNIT), mark(w)).otherwise(_plain(w)))))
+    out = out.withColumn("t1", F.zip_with("s", "t0", lambda w, x: F.when((w < NAME) | (w >= UNIT), x).otherwise(name)))
+    return out.withColumn("t2", F.zip_with("s", "t0", lambda w, x: F.when((w < NAME) | (w >= END) | (mark(w) == UNIT), x).otherwise(name)))
 
 
-def _windows(frame: DataFrame, width: int, place: str) -> DataFrame:
-    """The distinct hashes ``window`` of each window of the templates ``t``, with its ``place``.
+def _windows(frame: DataFrame, width: int, place: str, few: bool = False) -> DataFrame:
+    """The hashes ``window`` of each window in all forms, which may be equal, with its ``place``.
 
-    A text shorter than ``width`` words has no window. In the third template at most half of a window may be names.
+    A text shorter than ``width`` words has no window. With ``few`` at most half of a window of ``t2`` may be names.
     """
-    part = lambda k, i: F.slice(F.get("t", F.lit(k)), i, width)
-    few = lambda i: F.size(F.filter(part(2, i), lambda x: x == F.xxhash64(F.lit(NAME)))) <= width // 2
-    third = lambda i: F.when(F.xxhash64(part(2, i)) != F.xxhash64(part(1, i)), F.when(few(i), F.xxhash64(part(2, i))))
-    size = F.size(F.get("t", F.lit(0)))
-    hashes = F.when(size >= width, F.transform(F.sequence(F.lit(1), size - width + 1), lambda i: F.array_compact(F.array_distinct(F.array(F.xxhash64(part(0, i)), F.xxhash64(part(1, i)), third(i))))))
-    rest = [c for c in frame.columns if c not in ("t", "s")]
-    return frame.select(*rest, F.posexplode(hashes).alias(place, "forms")).select(*rest, place, F.explode("forms").alias("window"))
+    rest, every = [c for c in frame.columns if c not in ("s", *FORMS)], F.lit(1 << 30)
+    out = frame.where(F.size("t0") >= width).withColumn("n", F.size("t0") - width + 1)
+    if few:
+        names = lambda i: F.size(F.filter(F.slice("t2", i, width), lambda x: x == F.xxhash64(F.lit(NAME))))
+        out = out.withColumn("names", F.transform(F.sequence(F.lit(1), "n"), names))
+    size = 1
+    while size < width:  # a window's hash is that of two shorter ones, which overlap in the last step
+        step = min(size, width - size)
+        for t in FORMS:
+            out = out.withColumn(t, F.zip_with(t, F.slice(t, F.lit(step + 1), every), lambda a, b: F.xxhash64(a, b)))
+        size += step
+    parts = [F.slice(t, F.lit(1), F.col("n")) for t in FORMS]
+    if few:
+        parts[2] = F.zip_with(parts[2], "names", lambda x, k: F.when(k <= width // 2, x))
+    out = out.select(*rest, "n", F.posexplode(F.concat(*parts)).alias("at", "window"))
+    return out.select(*rest, (F.col("at") % F.col("n")).alias(place), "window").where("window is not null")
 
 
 #: How the words of an item and a document at one place compare: by a name on one side only or one that
@@ -128,14 +140,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, coverage:
     as a whole, as one window of their own size.
     """
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), slots(F.col(item_text).cast("string")).alias("s")).where(F.size("s") > 0)
-    items = stored(items.withColumn("size", F.size("s")).withColumn("t", templates(F.col("s"))).distinct().withColumn("row", F.monotonically_increasing_id()), "items")
+    items = stored(_with_templates(items.withColumn("size", F.size("s"))).distinct().withColumn("row", F.monotonically_increasing_id()), "items")
     text = F.col(text_col).cast("string")
     base = docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64(text).alias("h"), text.alias("x")).where("x is not null")
-    words = base.select("d", "h", slots(F.col("x")).alias("s")).select("d", "h", templates(F.col("s")).alias("t"))
+    words = _with_templates(base.select("d", "h", slots(F.col("x")).alias("s"))).drop("s")
     found = None
     short = [r.size for r in items.where(F.col("size") < width).select("size").distinct().collect()]  # at most width - 1 numbers
     for n in sorted({*short, width}):
-        keys = _windows(items.where(F.col("size") >= width if n == width else F.col("size") == n).select("row", "t"), n, "j")
+        keys = _windows(items.where(F.col("size") >= width if n == width else F.col("size") == n).select("row", *FORMS), n, "j", few=True)
         if keys.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
             keys = F.broadcast(keys)
         hits = _windows(words, n, "i").join(keys, "window").groupBy("d", "h", "row").agg(F.collect_set(F.col("i") - F.col("j")).alias("shifts"))
