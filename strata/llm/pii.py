@@ -138,7 +138,7 @@ def extract(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def confident_patterns(mentions: DataFrame, rounds: int, least: float, support: int) -> DataFrame:
-    """Patterns of which enough instances are known or vouched for, after ``rounds`` of scoring.
+    """Patterns of which enough instances are known or vouched for, after ``rounds`` of scoring and until it stands still.
 
     ``mentions`` has pattern, value, known. A pattern's confidence is the mean score of its distinct
     instances, with one more counted as 0; an instance's score is 1 if a base span has its value,
@@ -146,12 +146,17 @@ def confident_patterns(mentions: DataFrame, rounds: int, least: float, support:
     """
     edges = stored(mentions.groupBy("pattern", "value").agg(F.max("known").alias("known")), "pattern-graph")
     score = edges.groupBy("value").agg(F.max(F.col("known").cast("double")).alias("score"))
-    for _ in range(rounds):
+    before, n = None, 0
+    while True:
         by = edges.join(score, "value").groupBy("pattern").agg(F.sum("score").alias("right"), F.count("*").alias("all"))
         patterns = stored(by.where((F.col("right") >= support) & (F.col("right") / (F.col("all") + 1) >= least)).select("pattern", (F.col("right") / (F.col("all") + 1)).alias("confidence")), "patterns")
+        n, now = n + 1, patterns.agg(F.count("*"), F.coalesce(F.sum("confidence"), F.lit(0.0))).first()
+        # scores only rise, so equal counts are equal sets
+        if n >= rounds and before is not None and now[0] == before[0] and now[1] - before[1] < 1e-3:
+            return patterns
+        before = now
         doubt = F.exp(F.sum(F.log(1 - F.coalesce("confidence", F.lit(0.0)))))
         score = stored(edges.join(patterns, "pattern", "left").groupBy("value").agg(F.greatest(F.max(F.col("known").cast("double")), 1 - doubt).alias("score")), "instances")
-    return patterns
 
 
 def personal_spans(docs: DataFrame, rounds: int = 3, least: float = 0.5, support: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

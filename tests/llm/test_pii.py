@@ -55,3 +55,14 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
         assert got[i][0].spans == want and got[i][0].base_sha256 == hashlib.sha256(want.encode()).hexdigest()
     assert span_digests(personal_spans(docs.limit(0))).count() == 0
     assert mask_spans(docs.where("doc_id is null")).first().masked == "card [card]"
+
+
+def test_long_chains_of_patterns_are_followed(spark):
+    from strata.llm.pii import confident_patterns
+
+    rows = [("p0", f"seed{k}", True) for k in range(40)]
+    for step in range(8):  # each pattern vouches for the instances of the next one
+        rows += [(f"p{step}", f"v{step}-{k}", False) for k in range(8)] + [(f"p{step + 1}", f"v{step}-{k}", False) for k in range(8)]
+        rows += [(f"p{step + 1}", f"seed{step}-{k}", True) for k in range(6)]
+    good = confident_patterns(spark.createDataFrame(rows, "pattern string, value string, known boolean"), 3, 0.5, 10)
+    assert {r.pattern for r in good.collect()} == {f"p{k}" for k in range(9)}
