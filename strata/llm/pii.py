@@ -29,7 +29,9 @@ _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _SIGNS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_@#+./:-")
 _TAIL = re.compile(r"[0-9A-Za-z_@#+./:-]*")
 _DIGIT = re.compile(r"[0-9]")
-_BEFORE = re.compile(r"(?:([^\W\d_]+)[^\w\n]{0,3}[\x20\t]+)?([^\W\d_]+)[\x20\t]*([=:#]?)[\x20\t]*([\"'(\[<]?)$")
+#: Digit groups joined by space, bracket, dot or dash, in the shape of cards and phones.
+_GROUPED = re.compile(r"(?<![\w@#+./:(-])\(?[0-9]+(?:(?:[\x20.-]|\)[\x20.-]?|\x20\()[0-9]+)+(?![\w@])")
+_BEFORE = re.compile(r"(?:([^\W\d_]+)[^\w\n]{0,3}[\x20\t]+)?([^\W\d_]+)[\"']?[\x20\t]*([=:#]?)[\x20\t]*([\"'(\[<]?)$")
 #: How much text before a token its patterns may take up.
 REACH = 60
 
@@ -107,8 +109,10 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[in
     for a, _, b in base:
         if found := contexts(text, a):
             yield a, b, text[a:b], True, found
+    single = list(tokens(text))
+    grouped = [m.span() for m in _GROUPED.finditer(text) if m.end() - m.start() >= 4] if single or _DIGIT.search(text) else []
     k = 0
-    for a, b in tokens(text):
+    for a, b in sorted({*single, *grouped}):
         while k < len(base) and base[k][2] <= a:
             k += 1
         if not (k < len(base) and base[k][0] < b) and (found := contexts(text, a)):
@@ -171,7 +175,7 @@ def personal_spans(docs: DataFrame, rounds: int = 3, least: float = 0.5, support
     cands = rows.select("d", "h", F.explode("cands").alias("c")).select("d", "h", "c.*")
     cands = cands.select("d", "h", "start", "end", F.xxhash64(F.lower("value")).alias("value"), "known", F.explode("patterns").alias("pattern"))
     good = confident_patterns(cands.select("pattern", "value", "known"), rounds, least, support)
-    new = cands.where(~F.col("known")).join(good, "pattern").select("d", "h", "start", "end").distinct()
+    new = cands.where(~F.col("known")).join(good, "pattern").select("d", "h", "start", "end").groupBy("d", "h", "start").agg(F.max("end").alias("end"))  # a run of groups, not its first
     new = new.groupBy("d", "h").agg(F.collect_list(F.struct("start", F.lit(KINDS.index("found")).alias("kind"), "end")).alias("new"))
     new = new.withColumnsRenamed({"d": "d2", "h": "h2"})
     out = rows.select("d", "h", "base").join(new, F.expr("d <=> d2 and h = h2"), "left")

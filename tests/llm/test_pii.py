@@ -66,3 +66,11 @@ def test_long_chains_of_patterns_are_followed(spark):
         rows += [(f"p{step + 1}", f"seed{step}-{k}", True) for k in range(6)]
     good = confident_patterns(spark.createDataFrame(rows, "pattern string, value string, known boolean"), 3, 0.5, 10)
     assert {r.pattern for r in good.collect()} == {f"p{k}" for k in range(9)}
+
+
+def test_grouped_numbers_and_quoted_keys(spark):
+    known = [(i, f"call the phone: +1 (017) 555-77{i}") for i in range(10, 40)] + [(100 + i, f'row "fax": "+1 (018) 555-77{i}" end') for i in range(10, 40)]
+    unseen = ["phone: (017) 555-7713", "phone: 017 555 7713", 'row "fax": "018 555 7713" end']
+    docs = spark.createDataFrame([*known, *((1000 + k, t) for k, t in enumerate(unseen))], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in span_digests(personal_spans(docs)).collect()}
+    assert [got[1000 + k] for k in range(3)] == ["found:7:21", "found:7:19", "found:12:24"]
