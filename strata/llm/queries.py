@@ -112,6 +112,21 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(personal_spans(table(spark, sf_dir, "documents")))
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.lexical import lexical_search
+
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.runs import collapse_runs
+
+    found = collapse_runs(table(spark, sf_dir, "documents"), plant=True)
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
 ORACLE["op2_embedding_dedup"] = """
 WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
@@ -156,3 +171,20 @@ SELECT d.doc_id, CASE WHEN r.n_deleted > 0 AND coalesce(r.words, 0) = 0 THEN ''
   coalesce(r.n_lines, 0) AS n_lines, coalesce(r.n_deleted, 0) AS n_deleted
 FROM documents d LEFT JOIN rest r ON d.doc_id = r.doc_id
 """
+
+#: All documents scored for all items; integers as in the operator.
+ORACLE["op11_lexical_search"] = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+size AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(ts)) AS BIGINT) AS total FROM words WHERE len(ts) > 0),
+tf AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, CAST(len(ts) AS BIGINT) AS n, unnest(ts) AS t FROM words) GROUP BY ALL),
+df AS (SELECT t, count(*) AS df FROM tf WHERE t IN (SELECT t FROM items) GROUP BY t),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df, size),
+scored AS (
+  SELECT i.item_id, f.doc_id, CAST(sum(w.w * ((1000000000 * f.tf) // (1000 * f.tf + 8 * (100 - 90 + (90 * f.n * s.docs) // s.total)))) AS BIGINT) AS score
+  FROM items i JOIN tf f ON f.t = i.t JOIN w ON w.t = i.t, size s GROUP BY i.item_id, f.doc_id),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
