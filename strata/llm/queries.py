@@ -119,6 +119,14 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op12_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.graph_search import nearest_neighbours
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 @query
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.runs import collapse_runs
