@@ -411,3 +411,54 @@ def q_fact_daily_window(spark, sf_dir):
 
     L = layers(spark, sf_dir)
     return daily_fact(L.silver["transactions"], L.silver["merchants"])
+
+
+# ---------------------------------------------------------------- incremental tables
+def _silver_incremental(spark, sf_dir, name) -> DataFrame:
+    from strata.streaming.incremental import read_silver
+
+    return read_silver(spark, f"{testdata.fixture_incremental(spark, sf_dir)}/{name}")
+
+
+@query("silver_incremental")
+def q_silver_incremental(spark, sf_dir):
+    return _silver_incremental(spark, sf_dir, "transactions")
+
+
+@query("silver_incremental_users")
+def q_silver_incremental_users(spark, sf_dir):
+    return _silver_incremental(spark, sf_dir, "users")
+
+
+@query("silver_incremental_merchants")
+def q_silver_incremental_merchants(spark, sf_dir):
+    return _silver_incremental(spark, sf_dir, "merchants")
+
+
+@query("fact_retracting")
+def q_fact_retracting(spark, sf_dir):
+    from strata.streaming.incremental import read_fact
+
+    root = testdata.fixture_incremental(spark, sf_dir)
+    return read_fact(spark, f"{root}/transactions", _silver_incremental(spark, sf_dir, "merchants"), AS_OF)
+
+
+@query("quarantine_incremental")
+def q_quarantine_incremental(spark, sf_dir):
+    from strata.streaming.incremental import read_quarantine
+
+    root = testdata.fixture_incremental(spark, sf_dir)
+    parts = [read_quarantine(spark, f"{root}/{n}").select("source_name", "reject_reason", "error_column",
+                                                           F.get_json_object("raw_record", f"$.{e.key}").alias("record_key"), "_ingested_at")
+             for n, e in ENTITIES.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("unaccounted_incremental")
+def q_unaccounted_incremental(spark, sf_dir):
+    from strata.streaming.incremental import read_unaccounted
+
+    root = testdata.fixture_incremental(spark, sf_dir)
+    parts = [read_unaccounted(spark, f"{root}/{n}").select(F.lit(n).alias("source_name"), F.col(e.key).alias("record_key"))
+             for n, e in ENTITIES.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -1,4 +1,4 @@
-"""Ingestion manifest: one entry per landing source, read on the driver (metadata only)."""
+"""Ingestion manifest: one entry per landing source; a small file on any storage that Spark reads."""
 
 from __future__ import annotations
 
@@ -6,8 +6,11 @@ import json
 from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
+from pyspark.sql import SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from strata.sources.files import read_text
+
 
 @dataclass(frozen=True)
 class SourceSpec:
@@ -37,9 +40,17 @@ class SourceSpec:
         return replace(self, **paths)
 
 
+def _json(path: str):
+    """A JSON file through Spark's file systems; without a session yet, one on this machine."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        with open(path) as f:
+            return json.load(f)
+    return json.loads(read_text(spark, path))
+
+
 def load_manifest(path: str) -> list[SourceSpec]:
-    with open(path) as f:
-        return [SourceSpec.from_dict(d) for d in json.load(f)]
+    return [SourceSpec.from_dict(d) for d in _json(path)]
 
 
 def active_specs(specs) -> list[SourceSpec]:
@@ -53,5 +64,4 @@ def schema_from_mapping(columns: Mapping[str, str] | list[str]) -> StructType:
 
 def load_schema(path: str) -> StructType:
     """Schema file = JSON object column -> type name; types are ignored (all strings)."""
-    with open(path) as f:
-        return schema_from_mapping(json.load(f))
+    return schema_from_mapping(_json(path))

@@ -27,6 +27,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 FIXTURE_AS_OF = dt.datetime(2024, 12, 31, 0, 0, 0)
 _LAYOUT_VERSION = "v4"
 _WRITE_LOCK = threading.Lock()  # one writer per fixture when queries run concurrently
+_FEED_LOCK = threading.Lock()
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -181,3 +182,45 @@ def fixture_ingested(spark: SparkSession, sf_dir: str) -> dict[str, str]:
             spark.createDataFrame([("ok",)], "v string").coalesce(1).write.mode("overwrite").text(
                 f"{root}/landing/_WRITTEN")
         return ingest_manifest(spark, fixture_manifest(root), f"{root}/bronze", schemas, FIXTURE_AS_OF)
+
+
+# ---------------------------------------------------------------- drops for the incremental tables
+DROPS = 4
+
+
+def write_drop(spark: SparkSession, sf_dir: str, entity: str, folder: str, drop: int, drops: int = DROPS) -> None:
+    """The part of an entity's bronze rows that arrives with one drop, by a hash of the row id."""
+    raw = fixture_bronze(spark, sf_dir, entity)
+    part = raw.where(F.pmod(F.xxhash64(F.lit("drop"), "_row_id"), F.lit(drops)) == drop)
+    part.write.mode("overwrite").parquet(f"{folder}/drop-{drop}")
+
+
+def fixture_incremental(spark: SparkSession, sf_dir: str) -> str:
+    """Root of the incremental tables of all entities, fed drop by drop with a fold in between.
+
+    Made once for each state of the input; an attempt that failed is never read.
+    """
+    import uuid
+
+    from strata.operators.entities import ENTITIES
+    from strata.sources.files import exists, read_text, write_marker
+    from strata.streaming.incremental import fold, start_incremental
+
+    base = _bronze_dir(spark, sf_dir) + "-incremental"
+    with _FEED_LOCK:
+        if not exists(spark, f"{base}/current.txt"):
+            root = f"{base}/{uuid.uuid4().hex}"
+            for drop in range(DROPS):
+                running = []
+                for name, entity in ENTITIES.items():
+                    write_drop(spark, sf_dir, name, f"{root}/bronze/{name}", drop)
+                    running.append(start_incremental(spark, f"{root}/bronze/{name}/drop-*", entity, f"{root}/{name}", f"{root}/checkpoints/{name}", FIXTURE_AS_OF, buckets=4))
+                for q in running:
+                    q.awaitTermination()
+                    if q.exception() is not None:
+                        raise q.exception()
+                if drop == 1:
+                    for name in ENTITIES:
+                        fold(spark, f"{root}/{name}", buckets=4)
+            write_marker(spark, f"{base}/current.txt", root)
+        return read_text(spark, f"{base}/current.txt").strip()
