@@ -117,17 +117,23 @@ class ShardReader:
             yield int(d["key"]) if d["known"] else None, int(before[r]), ids[int(d["first"]) : int(d["first"] + d["ids"])]
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, id_bytes: int = 4,
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, id_bytes: int | None = None,
                       frame_ids: int = FRAME_IDS, shards: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes all documents in ascending key order, one shard per range of keys; returns the manifest.
 
     Rows are range-partitioned by (key, hash of the text, row), so one key with very many rows is
     spread too; NULL keys come first. NULL and empty texts hold ``end_id`` alone. A task writes to
     a file of its own attempt and renames it, so a lost or repeated task leaves one whole shard.
-    An empty table gives an empty manifest or empty shards; other columns are ignored.
+    An empty table gives an empty manifest or empty shards; other columns are ignored. Very long
+    texts are one document in one frame. Ids are stored in ``id_bytes`` bytes, by default in 2 if
+    the vocabulary is small enough, else in 4.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
+    if id_bytes is None:
+        from tokenizers import Tokenizer
+
+        id_bytes = 2 if max(Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True) - 1, end_id) < 1 << 16 else 4
     store, root = open_store(folder)
     store.create_dir(root, recursive=True)
 
@@ -159,12 +165,14 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
 def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame, wanted: Iterable[int] | None = None) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids of the stored documents.
 
-    One task reads a shard frame by frame. ``wanted`` restricts the frames that are decompressed.
+    A shard is a task of its own, read frame by frame. ``wanted`` restricts the frames that are
+    decompressed. The window that adds up the shards' ids has one row a shard.
     """
     bounded_batches(spark)
+    n = max(1, manifest.count())  # a number that is asked for stays: else so few rows would all go to one task
     keys = None if wanted is None else set(wanted)
     base = F.sum("tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    shards = manifest.select("path", F.coalesce(base, F.lit(0)).alias("base"))
+    shards = manifest.select("shard", "path", F.coalesce(base, F.lit(0)).alias("base"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,7 +187,7 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame, want
                 if held:
                     yield _rows(held)
 
-    return shards.repartition(F.col("path")).mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return shards.repartitionByRange(n, "shard").select("path", "base").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def _rows(held: list[tuple]) -> pa.RecordBatch:

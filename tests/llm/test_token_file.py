@@ -4,6 +4,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyarrow import fs
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strata.llm.token_file import ShardReader, ShardWriter, read_token_files, token_digests, write_token_files
@@ -53,3 +54,12 @@ def test_reads_only_wanted_frames_and_finds_damage(tmp_path):
     (tmp_path / "a.tokz").write_bytes(raw)
     with pytest.raises(ValueError):
         ShardReader(store, path)
+
+
+def test_each_shard_is_read_by_a_task_of_its_own(spark, scratch):
+    docs = spark.range(400).selectExpr("id as doc_id", "concat('text ', id) as text")
+    manifest = write_token_files(docs, scratch, PATH, shards=9)
+    rows = read_token_files(spark, scratch, manifest)
+    tasks = [r[0] for r in rows.select(F.spark_partition_id().alias("p")).distinct().collect()]
+    assert len(tasks) == manifest.count() == 9
+    assert rows.count() == 400 and manifest.agg(F.sum("tokens")).first()[0] == rows.agg(F.sum("n_tokens")).first()[0]
