@@ -6,7 +6,7 @@ import pytest
 from strata.llm import queries
 from strata.llm.langid import BUCKETS, fit_languages, grams, identify_language
 from strata.llm.quality import STATS, Discriminant, document_stats, fit_quality, score_quality
-from strata.llm.toxicity import FactorizationMachine, fit_toxicity, score_toxicity, text_terms, train
+from strata.llm.toxicity import FactorizationMachine, Trainer, bucket_of, fit_toxicity, score_toxicity, text_terms
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -45,20 +45,47 @@ def test_statistics_are_finite(text):
     assert len(document_stats(text)) == len(STATS) and np.isfinite(document_stats(text)).all()
 
 
-def test_machine_equals_all_pairs_and_learns_an_interaction():
+def test_machine_equals_all_pairs():
     rng = np.random.default_rng(2)
-    fm = FactorizationMachine(np.arange(5, dtype=np.uint64), 0.3, rng.normal(size=5), rng.normal(size=(5, 3)))
+    fm = FactorizationMachine(3, 0.3, rng.normal(size=8), rng.normal(size=(8, 3)))
     rows, at = np.array([0, 0, 0, 1]), np.array([0, 2, 4, 1])
     margin, _ = fm.margin(rows, at, 3)
     pairs = sum(fm.factors[a] @ fm.factors[b] for a, b in ((0, 2), (0, 4), (2, 4)))
     assert np.allclose(margin, [0.3 + fm.weights[[0, 2, 4]].sum() + pairs, 0.3 + fm.weights[1], 0.3])
-    texts = ["insult", "group", "insult group", "other"] * 50
-    y = np.array([0, 0, 1, 0] * 50, float)
-    found, terms = text_terms(texts)
-    known = np.unique(terms)
-    model = train(known, found, terms, y, 0.5)
-    score = model.score(["insult", "group", "insult group", "other"])
-    assert score[2] > 0.7 and score[[0, 1, 3]].max() < 0.5
+    texts = ["one two two", None, "three one"]
+    single = [1 / (1 + np.exp(-fm.margin(np.zeros(len(b), int), b, 1)[0][0])) for t in texts for b in [np.unique(bucket_of(text_terms([t])[1], 3)).astype(int)]]
+    assert np.allclose(fm.score(texts), single)
+
+
+def test_slopes_are_those_of_the_loss():
+    rng = np.random.default_rng(3)
+    rows, at, y = np.array([0, 0, 1, 1, 1]), np.array([1, 2, 0, 1, 3]), np.array([1.0, 0.0])
+
+    def loss(fm):
+        margin, _ = fm.margin(rows, at, 2)
+        return (np.log1p(np.exp(margin)) - y * margin).sum()
+
+    start = FactorizationMachine(2, 0.1, rng.normal(size=4), rng.normal(size=(4, 2)))
+    moved = FactorizationMachine(2, 0.1, start.weights.copy(), start.factors.copy())
+    Trainer(moved, np.full(4, 1e12), rate=1.0, calm=1e8, sparse=0, sparse_pairs=0).step(rows, at, y, np.ones(2))  # a step of 1e-4 slopes
+    for name in ("weights", "factors"):
+        slope, table = (getattr(start, name) - getattr(moved, name)) * 1e4, getattr(start, name)
+        for i in np.ndindex(table.shape):
+            bump = np.zeros(table.shape)
+            bump[i] = 1e-5
+            up, down = (loss(FactorizationMachine(**{**vars(start), name: table + h * bump})) for h in (1, -1))
+            assert slope[i] == pytest.approx((up - down) / 2e-5, abs=1e-3)
+
+
+def test_fit_learns_a_pair_of_words_that_are_neutral_by_themselves(spark):
+    rng = np.random.default_rng(5)
+    n = 8000
+    a, b = rng.random(n) < 0.5, rng.random(n) < 0.5
+    docs = [(i, " ".join([*["alpha"] * p, *["omega"] * q, *[f"w{z}" for z in rng.integers(0, 500, 20)]])) for i, (p, q) in enumerate(zip(a.tolist(), b.tolist(), strict=True))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(a[i] != b[i])) for i in range(6000)], "doc_id long, toxic int")
+    out = score_toxicity(frame, fit_toxicity(frame, labels)).where("doc_id >= 6000").toPandas()
+    assert ((out.score >= 0.5) == (a != b)[out.doc_id]).mean() >= 0.95
 
 
 def test_grams_stay_inside_their_text():
