@@ -237,6 +237,9 @@ def build_index(vectors: DataFrame, copies: int, shard: int = SHARD, degree: int
     sizes = held.where("copy = 1").groupBy("dim").agg(F.count("*").alias("n"))
     shards = F.ceil(F.col("n") / F.lit(shard))
     dealt = held.join(sizes, "dim").select("vec_id", "dim", "raw", F.pmod(F.xxhash64("raw"), shards).cast("long").alias("shard"))
+    # little data but much work a shard: a number of partitions that is asked for is not coalesced
+    tasks = 2 * int(sizes.agg(F.sum(shards)).first()[0] or 1)
+    dealt = dealt.repartition(tasks, "dim", "shard")
     return stored(dealt.groupBy("dim", "shard").applyInArrow(_packed(degree), _SHARD), "graph-shards")
 
 
