@@ -30,14 +30,23 @@ UNITS = ("km", "m", "cm", "mm", "mi", "ft", "in", "kg", "g", "mg", "lb", "oz", "
 #: Marks in front of slot values: private-use characters, which no word holds after cleaning. START
 #: marks a capitalised word where a sentence, line, quote or bracket may begin: a name or not.
 NUMBER, NAME, UNIT, START, END = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004"
+#: Stands where words were left out that no item can match.
+BREAK = "\ue005"
+#: A benchmark of more distinct words than this is compared with whole texts: the words become part of the plan.
+VOCABULARY = 20_000
+WORD = r"[\p{L}\p{N}]+"
 
 
-def slots(text: Column) -> Column:
-    """Words of a text in order, lower case, with a mark in front of numbers, units and capitalised words.
+def cleaned(text: Column) -> Column:
+    """Single spaces, no marks, and a space between a digit and the letter behind it."""
+    return F.regexp_replace(text, rf"[\s\p{{Z}}{NUMBER}-{BREAK}]+|(?<=\p{{N}})(?=\p{{L}})", " ")
+
+
+def slots(clean: Column) -> Column:
+    """Words of a cleaned text in order, lower case, with a mark in front of numbers, units and capitalised words.
 
     A capitalised word that follows another word or a comma is a name, elsewhere it has the mark START.
     """
-    clean = F.regexp_replace(text, rf"[\s\p{{Z}}{NUMBER}-{START}]+", " ")
     counted = F.regexp_replace(clean, r"(?<![\p{L}\p{N}.,])(\p{N}+(?:[.,]\p{N}+)*)", NUMBER + "$1")
     measured = F.regexp_replace(counted, rf"(?<=\p{{N}} ?)((?i:{'|'.join(sorted(UNITS, key=len, reverse=True))}))(?![\p{{L}}\p{{N}}])", " " + UNIT + "$1")
     named = F.regexp_replace(measured, r"(?<=[\p{L}\p{N},;:] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", NAME + "$1")
@@ -53,31 +62,36 @@ def _plain(w: Column) -> Column:
     return F.when(_marked(w), F.substring(w, 2, 1 << 30)).otherwise(w)
 
 
-FORMS = ("t0", "t1", "t2")
+FORMS = ("t0", "t1", "t2", "t3")
 
 
 def _with_templates(frame: DataFrame) -> DataFrame:
-    """``frame`` with word hashes of the words ``s`` in three forms; of a slot not the value counts but its type.
+    """``frame`` with word hashes of the words ``s`` in four forms; of a slot not the value counts but its type.
 
-    Numbers and units are slots in all, names in ``t1``, and all capitalised words in ``t2``: ``t0``
-    matches copies whatever their case, ``t2`` names at the beginning of a sentence.
+    Numbers and units are slots in the first three, names in ``t1``, and all capitalised words in
+    ``t2``: ``t0`` matches copies whatever their case, ``t2`` names at the beginning of a sentence.
+    ``t3`` has the words and values themselves.
     """
     name, mark = F.xxhash64(F.lit(NAME)), lambda w: F.substring(w, 1, 1)
     out = frame.withColumn("t0", F.transform("s", lambda w: F.xxhash64(F.when(w < NUMBER, w).when(mark(w).isin(NUMBER, UNIT), mark(w)).otherwise(_plain(w)))))
     out = out.withColumn("t1", F.zip_with("s", "t0", lambda w, x: F.when((w < NAME) | (w >= UNIT), x).otherwise(name)))
-    return out.withColumn("t2", F.zip_with("s", "t0", lambda w, x: F.when((w < NAME) | (w >= END) | (mark(w) == UNIT), x).otherwise(name)))
+    out = out.withColumn("t2", F.zip_with("s", "t0", lambda w, x: F.when((w < NAME) | (w >= END) | (mark(w) == UNIT), x).otherwise(name)))
+    return out.withColumn("t3", F.transform("s", lambda w: F.xxhash64(_plain(w))))
 
 
-def _windows(frame: DataFrame, width: int, place: str, few: bool = False) -> DataFrame:
+def _windows(frame: DataFrame, width: int, place: str, item: bool = False) -> DataFrame:
     """The hashes ``window`` of each window in all forms, which may be equal, with its ``place``.
 
-    A text shorter than ``width`` words has no window. With ``few`` at most half of a window of ``t2`` may be names.
+    A text shorter than ``width`` words has no window. Of an ``item``, windows with slots count in the
+    first three forms only if half of their words or more are no slots; those with more slots count as they stand (``t3``).
     """
     rest, every = [c for c in frame.columns if c not in ("s", *FORMS)], F.lit(1 << 30)
     out = frame.where(F.size("t0") >= width).withColumn("n", F.size("t0") - width + 1)
-    if few:
-        names = lambda i: F.size(F.filter(F.slice("t2", i, width), lambda x: x == F.xxhash64(F.lit(NAME))))
-        out = out.withColumn("names", F.transform(F.sequence(F.lit(1), "n"), names))
+    if item:
+        types = [F.xxhash64(F.lit(x)) for x in (NAME, NUMBER, UNIT)]
+        many = lambda t: lambda i: 2 * F.size(F.filter(F.slice(t, i, width), lambda x: x.isin(*types))) > width
+        for t in FORMS[:3]:
+            out = out.withColumn(f"many_{t}", F.transform(F.sequence(F.lit(1), "n"), many(t)))
     size = 1
     while size < width:  # a window's hash is that of two shorter ones, which overlap in the last step
         step = min(size, width - size)
@@ -85,28 +99,50 @@ def _windows(frame: DataFrame, width: int, place: str, few: bool = False) -> Dat
             out = out.withColumn(t, F.zip_with(t, F.slice(t, F.lit(step + 1), every), lambda a, b: F.xxhash64(a, b)))
         size += step
     parts = [F.slice(t, F.lit(1), F.col("n")) for t in FORMS]
-    if few:
-        parts[2] = F.zip_with(parts[2], "names", lambda x, k: F.when(k <= width // 2, x))
+    if item:
+        parts[:3] = [F.zip_with(x, f"many_{t}", lambda h, many: F.when(~many, h)) for x, t in zip(parts[:3], FORMS, strict=False)]
+        parts[3] = F.zip_with(parts[3], "many_t0", lambda h, many: F.when(many, h))
     out = out.select(*rest, "n", F.posexplode(F.concat(*parts)).alias("at", "window"))
     return out.select(*rest, (F.col("at") % F.col("n")).alias(place), "window").where("window is not null")
 
 
+def matchable(texts: DataFrame, vocabulary: list[str], least: int) -> DataFrame:
+    """Rows of the parts ``x`` of the cleaned texts ``x`` in which an item can match, numbered by ``part``.
+
+    Each word of a match is a word of the benchmark, a unit, a number or capitalised, so stretches
+    of fewer than ``least`` such words match nothing. One word in front of a stretch is kept, since it
+    tells names from beginnings.
+    """
+    known = lambda w: F.lower(w).isin(*vocabulary) | w.rlike(r"\p{N}|^\p{Lu}\p{Ll}+$")
+    out = texts.withColumn("w", F.regexp_extract_all("x", F.lit(WORD), F.lit(0)))
+    flags = F.array_join(F.transform("w", lambda w: F.when(known(w), "1").otherwise("0")), "")
+    for k in range(1, least):
+        flags = F.regexp_replace(flags, f"(?<!1){'1' * k}(?!1)", "0" * k)
+    out = out.withColumn("f", F.regexp_replace(flags, "01", "11")).where(F.contains("f", F.lit("1")))
+    pieces = F.zip_with(F.split("x", WORD), "w", lambda gap, w: F.concat(gap, w))  # the gap behind the last word pairs with none
+    held = F.zip_with(pieces, F.split("f", ""), lambda p, f: F.when(f == "1", p).otherwise(BREAK))
+    rest = [c for c in texts.columns if c != "x"]
+    return out.select(*rest, F.posexplode(F.split(F.array_join(held, ""), f"{BREAK}+")).alias("part", "x")).where("x <> ''")
+
+
 #: How the words of an item and a document at one place compare: by a name on one side only or one that
-#: may begin a sentence, by slots of one type, or as equal words.
-LOOSE, TYPED, EQUAL = 1, 2, 3
+#: may begin a sentence, by slots of one type, as equal numbers or units, or as equal words.
+LOOSE, TYPED, EQUAL, LITERAL = 1, 2, 3, 4
 
 
 def _compared(a: Column, b: Column) -> Column:
     mark = lambda w: F.substring(w, 1, 1)
     name, fixed = (lambda w: mark(w).isin(NAME, START)), (lambda w: mark(w).isin(NUMBER, UNIT))
     typed = F.when(mark(a).isin(NUMBER, NAME, UNIT) & (mark(a) == mark(b)), TYPED).when((name(a) | name(b)) & ~fixed(a) & ~fixed(b), LOOSE)
-    return F.when(b.isNull(), 0).when(_plain(a) == _plain(b), EQUAL).otherwise(F.coalesce(typed, F.lit(0)))
+    equal = F.when(mark(a).isin(NUMBER, UNIT), EQUAL).otherwise(LITERAL)
+    return F.when(b.isNull(), 0).when(_plain(a) == _plain(b), equal).otherwise(F.coalesce(typed, F.lit(0)))
 
 
 def _matched(least: int) -> Column:
-    """Places of the item in windows of which each word compares ``least`` at least, half of them more than LOOSE."""
+    """Places of the item in windows of which each word compares ``least`` at least, and half of them as equal words or all as equal."""
     part = lambda i: F.slice("c", i, F.col("width"))
-    good = lambda i: (F.array_min(part(i)) >= least) & (2 * F.size(F.filter(part(i), lambda x: x > LOOSE)) >= F.col("width"))
+    sure = lambda i: (F.array_min(part(i)) >= EQUAL) | (2 * F.size(F.filter(part(i), lambda x: x == LITERAL)) >= F.col("width"))
+    good = lambda i: (F.array_min(part(i)) >= least) & sure(i)
     starts = F.filter(F.sequence(F.lit(1), F.col("size") - F.col("width") + 1), good)
     return F.array_distinct(F.flatten(F.transform(starts, lambda i: F.sequence(i - 1, i + F.col("width") - 2))))
 
@@ -114,7 +150,7 @@ def _matched(least: int) -> Column:
 def _literal_run() -> Column:
     """Words of the longest run of equal words."""
     def step(s: Column, x: Column) -> Column:
-        now = F.when(x == EQUAL, s.now + 1).otherwise(0)
+        now = F.when(x >= EQUAL, s.now + 1).otherwise(0)
         return F.struct(now.alias("now"), F.greatest(s.most, now).alias("most"))
 
     return F.aggregate("c", F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step, lambda s: s.most)
@@ -139,25 +175,36 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, coverage:
     ``d`` is the key and ``h`` the hash of the text. Items of fewer than ``width`` words are matched
     as a whole, as one window of their own size.
     """
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), slots(F.col(item_text).cast("string")).alias("s")).where(F.size("s") > 0)
-    items = stored(_with_templates(items.withColumn("size", F.size("s"))).distinct().withColumn("row", F.monotonically_increasing_id()), "items")
+    items = benchmark.select(F.col(item_col).cast("long").alias("item"), cleaned(F.col(item_text).cast("string")).alias("x"))
+    items = items.withColumn("s", slots(F.col("x"))).where(F.size("s") > 0).withColumn("size", F.size("s"))
+    vocabulary = items.select(F.explode(F.regexp_extract_all(F.lower("x"), F.lit(WORD), F.lit(0))).alias("w")).distinct().limit(VOCABULARY + 1).collect()
+    items = stored(_with_templates(items.drop("x")).distinct().withColumn("row", F.monotonically_increasing_id()), "items")
+    short = [r.size for r in items.where(F.col("size") < width).select("size").distinct().collect()]  # at most width - 1 numbers
     text = F.col(text_col).cast("string")
     base = docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64(text).alias("h"), text.alias("x")).where("x is not null")
-    words = _with_templates(base.select("d", "h", slots(F.col("x")).alias("s"))).drop("s")
+
+    def parts(texts: DataFrame) -> DataFrame:
+        clean = texts.withColumn("x", cleaned(F.col("x")))
+        if len(vocabulary) > VOCABULARY:
+            return clean.withColumn("part", F.lit(0))
+        return matchable(clean, sorted({r.w for r in vocabulary} | set(UNITS)), min([*short, width]))
+
+    words = _with_templates(parts(base).select("d", "h", "part", slots(F.col("x")).alias("s"))).drop("s")
     found = None
-    short = [r.size for r in items.where(F.col("size") < width).select("size").distinct().collect()]  # at most width - 1 numbers
     for n in sorted({*short, width}):
-        keys = _windows(items.where(F.col("size") >= width if n == width else F.col("size") == n).select("row", *FORMS), n, "j", few=True)
-        if keys.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
+        keys = _windows(items.where(F.col("size") >= width if n == width else F.col("size") == n).select("row", *FORMS), n, "j", item=True)
+        keys = stored(keys.distinct(), "item-windows")
+        if keys.count() <= BROADCAST_WINDOWS:  # rows of 20 bytes
             keys = F.broadcast(keys)
-        hits = _windows(words, n, "i").join(keys, "window").groupBy("d", "h", "row").agg(F.collect_set(F.col("i") - F.col("j")).alias("shifts"))
+        hits = _windows(words, n, "i").join(keys, "window").groupBy("d", "h", "part", "row").agg(F.collect_set(F.col("i") - F.col("j")).alias("shifts"))
         hits = hits.withColumn("width", F.lit(n))
         found = hits if found is None else found.unionByName(hits)
     found = stored(found, "matches")
     # the words of both sides, only for documents with a match: one row for each alignment, ``b`` beside the item's words
     held = found.select("d", "h").distinct().withColumnsRenamed({"d": "d2", "h": "h2"})
-    texts = base.join(held, F.expr("d <=> d2 and h = h2"), "left_semi").dropDuplicates(["d", "h"]).select(F.col("d").alias("d2"), F.col("h").alias("h2"), slots(F.col("x")).alias("own"))
-    both = found.join(texts, F.expr("d <=> d2 and h = h2")).join(items.select("row", "item", "size", F.col("s").alias("theirs")), "row")
+    texts = parts(base.join(held, F.expr("d <=> d2 and h = h2"), "left_semi").dropDuplicates(["d", "h"]))
+    texts = texts.select(F.col("d").alias("d2"), F.col("h").alias("h2"), F.col("part").alias("part2"), slots(F.col("x")).alias("own"))
+    both = found.join(texts, F.expr("d <=> d2 and h = h2 and part = part2")).join(items.select("row", "item", "size", F.col("s").alias("theirs")), "row")
     beside = F.transform("shifts", lambda s: F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda k: F.get("own", (k + s).cast("int"))))
     rows = both.select("d", "h", "row", "item", "size", "width", "theirs", F.explode(beside).alias("b")).withColumn("c", F.zip_with("theirs", "b", _compared))
     rows = rows.withColumn("loose", _matched(LOOSE)).withColumn("typed", _matched(TYPED)).withColumn("equal", _matched(EQUAL))
@@ -175,7 +222,7 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW
     """``docs`` with contaminated (boolean) and items (sorted ids of the benchmark items it holds).
 
     All rows and columns stay; where a name is taken, underscores go in front of the new one.
-    NULL and empty texts, and texts shorter than any item's window, are clean. NULL and empty
+    NULL and empty texts, and texts shorter than any item's window, are clean. Very long texts are compared whole. NULL and empty
     benchmark texts match nothing; without a benchmark all rows are clean. Rows with equal key
     and text are judged alike, NULL keys too; all consistent alignments of an item count together.
     """

@@ -99,3 +99,37 @@ def test_one_conflict_leaves_literal_windows_and_other_quantities(spark):
     assert flagged(spark, [apples, equal], texts) == [[0], [1], [1]]
     conflict = "the train travels 120 km in 2 hours how fast is it if Bob drives 120 km to Anna and Bob sees her"
     assert flagged(spark, [conflict], [conflict.replace("120", "80", 1).replace("120", "90").replace("Bob", "Max", 1)]) == [[]]
+
+
+def test_lists_of_numbers_or_names_match_only_as_they_stand(spark):
+    series = "Continue the series 1 2 3 4 5 6 7 8 9 10 11 12"
+    names = "Sort these names: Anna, Bob, Carl, Dave, Eve, Fred, Gina, Hugo, Ida, Jane"
+    table = "Table of rainfall by station 412 87 93 21 65 74 38 99 150 233 47 61 was printed"
+    guests = "On the list: Karl, Lena, Max, Nora, Otto, Paul, Rita, Sam, Tina, Ute"
+    many = " ".join(str(k * 7919 % 1000) for k in range(3000))
+    texts = [table, guests, many, "look: continue the series 1 2 3 4 5 6 7 8 9 10 11 12 please", names.lower(), "12km 5 kg " * 40, many + " " + series]
+    assert flagged(spark, [series, names], texts) == [[], [], [], [0], [1], [], [0]]
+
+
+def test_parts_lose_no_match(spark):
+    import strata.llm.decontaminate as module
+
+    folder = "/root/testdata/sf0.01"
+    docs, items = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
+    odd = spark.createDataFrame([(-1, "before x9ab12 " + NAMES), (-2, "Xyz. " + NAMES.title()), (-3, "5km " + NAMES), (-4, NAMES + " " + NAMES.replace("Anna", "Zoe"))], "doc_id long, text string")
+    docs = docs.select("doc_id", "text").unionByName(odd)
+    items = items.select("item_id", "text").unionByName(spark.createDataFrame([(-1, NAMES)], "item_id long, text string"))
+    cut = {(r.doc_id, tuple(r["items"])) for r in mark_contaminated(docs, items).where("contaminated").collect()}
+    before, module.VOCABULARY = module.VOCABULARY, 0
+    try:
+        whole = {(r.doc_id, tuple(r["items"])) for r in mark_contaminated(docs, items).where("contaminated").collect()}
+    finally:
+        module.VOCABULARY = before
+    assert cut == whole and {-1, -3, -4} <= {d for d, _ in cut}
+
+
+def test_equal_rows_are_judged_alike(spark):
+    docs = spark.createDataFrame([(1, NAMES), (1, NAMES), (None, NAMES), (2, "clean")], "doc_id long, text string")
+    bench = spark.createDataFrame([(3, NAMES)], "item_id long, text string")
+    out = mark_contaminated(docs, bench)
+    assert out.count() == 4 and out.where("contaminated").count() == 3
