@@ -28,6 +28,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 20, 4
 #: Members of a tile when a bucket needs more than one comparison a node.
 TILE = 128
+#: Up to so many dropped rows (key and hash, 16 bytes each) are broadcast to the texts; more are joined by a shuffle.
+BROADCAST_KEYS = 500_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -281,15 +283,21 @@ def drop_near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float =
     """``docs`` with one row of each class; texts without a word all stay.
 
     The row that stays has the least (key, hash of the text); of several such rows, equal in both, one.
+    What goes is decided on keys and hashes; texts move only where equal rows must be found.
+    NULL, empty and very long texts are treated as in ``near_duplicates``.
     """
     rows = near_duplicates(docs, width, threshold, id_col, text_col)
-    best = rows.where("component is not null").select("origin.d", "origin.h").distinct()
     key, hashed = (free_name(docs, x) for x in ("_d", "_h"))
-    best = best.select(F.col("d").alias(key), F.col("h").alias(hashed))
+    classed = rows.where("component is not null")
+    gone = classed.where(~F.struct("d", "h").eqNullSafe(F.col("origin"))).select(F.col("d").alias(key), F.col("h").alias(hashed)).distinct()
+    gone = stored(gone, "dropped")
+    if gone.count() <= BROADCAST_KEYS:  # texts are then filtered where they are read
+        gone = F.broadcast(gone)
     text = docs[text_col].cast("string")
-    stay = docs.join(best, docs[id_col].cast("long").eqNullSafe(best[key]) & (F.xxhash64(text) == best[hashed]), "left_semi")
-    again = rows.where("component is not null").groupBy("d", "h").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
-    if not again:
-        stay = stay.withColumns({key: F.col(id_col).cast("long"), hashed: F.xxhash64(F.col(text_col).cast("string"))}).dropDuplicates([key, hashed]).drop(key, hashed)
-    wordless = F.regexp_count(text, F.lit(r"[\p{L}\p{N}]")) == 0
-    return stay.unionByName(docs.where(text.isNull() | wordless))
+    stay = docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone[key]) & (F.xxhash64(text) == gone[hashed]), "left_anti")
+    unique = classed.groupBy("d", "h").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    if unique:
+        return stay
+    words = F.coalesce(F.col(text_col).cast("string").rlike(r"[\p{L}\p{N}]"), F.lit(False))
+    once = stay.where(words).withColumns({key: F.col(id_col).cast("long"), hashed: F.xxhash64(F.col(text_col).cast("string"))}).dropDuplicates([key, hashed]).drop(key, hashed)
+    return once.unionByName(stay.where(~words))
