@@ -39,7 +39,9 @@ WORD = r"[\p{L}\p{N}]+"
 
 def cleaned(text: Column) -> Column:
     """Single spaces, no marks, and a space between a digit and the letter behind it."""
-    return F.regexp_replace(text, rf"[\s\p{{Z}}{NUMBER}-{BREAK}]+|(?<=\p{{N}})(?=\p{{L}})", " ")
+    odd = rf"[\s\p{{Z}}{NUMBER}-{BREAK}]"
+    single = F.regexp_replace(text, rf"{odd}{{2,}}|[{odd}&&[^ ]]", " ")  # plain single spaces, which are most, stay
+    return F.when(single.rlike(r"\p{N}\p{L}"), F.regexp_replace(single, r"(?<=\p{N})(?=\p{L})", " ")).otherwise(single)
 
 
 def slots(clean: Column) -> Column:
@@ -113,7 +115,8 @@ def matchable(texts: DataFrame, vocabulary: list[str], least: int) -> DataFrame:
     of fewer than ``least`` such words match nothing. One word in front of a stretch is kept, since it
     tells names from beginnings.
     """
-    known = lambda w: F.lower(w).isin(*vocabulary) | w.rlike(r"\p{N}|^\p{Lu}\p{Ll}+$")
+    # numbers and capitalised words: signs before "a" in ASCII, beyond it by a pattern
+    known = lambda w: (w < "a") | F.lower(w).isin(*vocabulary) | ((w > "~") & w.rlike(r"^[\p{N}\p{Lu}\p{Lt}]"))
     out = texts.withColumn("w", F.regexp_extract_all("x", F.lit(WORD), F.lit(0)))
     flags = F.array_join(F.transform("w", lambda w: F.when(known(w), "1").otherwise("0")), "")
     for k in range(1, least):
