@@ -20,8 +20,8 @@ from strata.llm.tokens import Encoder
 
 SCHEMA = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
           "sequence_tokens long, ids binary")
-#: Ids that one block holds (16 MB); a block is packed and emitted before the next is read.
-BLOCK_IDS = 4_000_000
+#: Ids that one block holds (8 MB); a block is packed and emitted before the next is read.
+BLOCK_IDS = 2_000_000
 
 
 class CapacityTree:

@@ -20,7 +20,7 @@ from strata.llm.common import byte_slices, span_hashes
 _RUN = re.compile(r"\s \s|\s \Z")
 _ENCODERS: dict[str, "Encoder"] = {}
 #: Words that the library gets in one string, with a special token between them.
-TOGETHER = 32768
+TOGETHER = 8192
 
 
 class WordTable:
@@ -150,7 +150,7 @@ class Encoder:
         ends_at = np.cumsum(words_in) - 1
         return ids, np.diff(np.concatenate(([0], done[ends_at])))
 
-    def encode(self, texts: list[str | None], most: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str | None], most: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order as uint32, number of ids of each text); NULL is empty."""
         texts = [t or "" for t in texts]
         odd = np.fromiter(map(self._odd, texts), bool, len(texts))
