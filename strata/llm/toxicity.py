@@ -146,7 +146,7 @@ class Trainer:
 
 
 #: Examples of a training step, and how many steps are taken at least (small tables are read more often).
-STEP_ROWS, LEAST_STEPS = 128, 900
+STEP_ROWS, LEAST_STEPS = 128, 600
 
 
 def _examples(files: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -181,8 +181,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows_
     rows = picked.select("y", buckets_column(F.col("t"), bits).alias("at"), F.xxhash64("k", "t").alias("h"))
     examples = stored(rows.repartition(8, "h").sortWithinPartitions("h").select("y", "at"), "examples")  # classes well mixed
     files = sorted(examples.inputFiles())
-    texts, count = np.zeros(1 << bits, np.int64), np.zeros(2)
+    texts, count, steps = np.zeros(1 << bits, np.int64), np.zeros(2), 0
     for _, at, y in _examples(files):
+        steps += 1
         texts += np.bincount(at, minlength=1 << bits)
         count += np.bincount(y.astype(int), minlength=2)
     machine = FactorizationMachine.start(bits, rank)
@@ -191,7 +192,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows_
         machine.bias, machine.factors[:] = float(np.log(share / (1 - share))), 0
         return machine
     trainer, of_class = Trainer(machine, texts), np.array([1 - share, share]) * count.sum() / count
-    for _ in range(max(epochs, math.ceil(LEAST_STEPS * STEP_ROWS / count.sum()))):
+    for _ in range(max(epochs, math.ceil(LEAST_STEPS / steps))):
         for text, at, y in _examples(files):
             trainer.step(text, at, y, of_class[y.astype(int)])
     return trainer.done()
