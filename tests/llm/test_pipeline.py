@@ -34,7 +34,7 @@ def test_empty_tables(spark):
 
 
 def test_registered_names():
-    assert sorted({int(re.match(r"op(\d+)_", q)[1]) for q in queries.REGISTRY}) == list(range(1, 11))
+    assert sorted({int(re.match(r"op(\d+)_", q)[1]) for q in queries.REGISTRY}) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_dedup", "decontamination", "packing"]
 
 
