@@ -345,6 +345,11 @@ ORACLE: dict[str, str] = {
     "rls_auditoria": _q("SELECT user_id, segment FROM u_silver WHERE segment = 'premium'"),
     "secure_users": _q(f"SELECT {_MASKED_USER}, country, segment, registration_date, _ingested_at "
                        "FROM u_silver WHERE segment IN ('premium', 'estandar')"),
+    "secure_lake": _q("SELECT 'engineer' AS reader, * FROM u_silver "
+                      + "".join(f"UNION ALL SELECT '{who}', {_MASKED_USER}, country, segment, registration_date, _ingested_at "
+                                f"FROM u_silver WHERE segment IN ({seen}) "
+                                for who, seen in (("analyst", "'premium', 'estandar'"), ("auditor", "'premium'"),
+                                                  ("lead", "'premium', 'estandar'")))),
     # observability
     "records_by_layer_table": _q("SELECT layer, table_name, CAST(sum(record_count) AS BIGINT) AS total_records "
                                  "FROM records GROUP BY layer, table_name"),

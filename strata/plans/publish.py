@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.entities import ENTITIES
 from strata.operators.observe import expectations, observed, run_log
+from strata.operators.policies import MEMBER_SCHEMA, POLICY_SCHEMA, member_rows, policy_rows, secure_table
 from strata.operators.silver import silver
 from strata.plans.medallion import SILVER_NAMES, Layers
 
@@ -56,8 +57,32 @@ def versions(spark: SparkSession, root: str) -> list[str]:
     return [name.removesuffix(".json") for _, name in sorted(seen) if name.endswith(".json") and not name.startswith(".")]
 
 
-def read_lake(spark: SparkSession, root: str, run_id: str | None = None) -> dict[str, DataFrame]:
-    """The tables of one published version, the newest by default."""
+def write_policies(policies: DataFrame, members: DataFrame, root: str) -> None:
+    """Replace the lake's policies and group memberships; readers follow with their next plan."""
+    policies.coalesce(1).write.mode("overwrite").parquet(f"{root}/_policies/rules")
+    members.coalesce(1).write.mode("overwrite").parquet(f"{root}/_policies/members")
+
+
+def read_policies(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """The lake's policies and memberships; those of the silver users and no member where none are written."""
+    hadoop, fs = _filesystem(spark, root)
+    if not fs.exists(hadoop(f"{root}/_policies/members/_SUCCESS")):
+        return policy_rows(spark), member_rows(spark)
+    return (spark.read.schema(POLICY_SCHEMA).parquet(f"{root}/_policies/rules"),
+            spark.read.schema(MEMBER_SCHEMA).parquet(f"{root}/_policies/members"))
+
+
+def read_lake(spark: SparkSession, root: str, reader: str | None = None, run_id: str | None = None) -> dict[str, DataFrame]:
+    """What ``reader`` sees of one published version, the newest by default.
+
+    Every table passes the lake's policies; without a reader it is what one in no group sees.
+    """
+    policies, members = read_policies(spark, root)
+    return {name: secure_table(df, name, policies, members, reader) for name, df in owner_tables(spark, root, run_id).items()}
+
+
+def owner_tables(spark: SparkSession, root: str, run_id: str | None = None) -> dict[str, DataFrame]:
+    """The stored tables of one published version, for the jobs that own the lake: no policy applies."""
     known = versions(spark, root)
     if not known:
         raise FileNotFoundError(f"nothing is published below {root}")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +22,10 @@ from strata.operators import observe as O
 from strata.operators.dedup import rank_rows
 from strata.operators.entities import DUP, ENTITIES, MERCHANTS, TRANSACTIONS, USERS
 from strata.operators.governance import apply_masks, row_filter, secure_view
+from strata.operators.policies import member_rows, policy_rows
 from strata.operators.quarantine import parse_record, unaccounted
 from strata.plans.medallion import Layers, build, stored_tables
-from strata.plans.publish import materialize, publish, read_lake, versions
+from strata.plans.publish import materialize, owner_tables, publish, read_lake, versions, write_policies
 from strata.session import checkpoint_root
 from strata.sources import testdata
 
@@ -32,6 +34,8 @@ DATE_RANGE = ("2024-12-01", "2024-12-31")          # dashboard date-range widget
 LAYER_SELECTION = ("Bronze", "Gold")               # dashboard layer multi-select
 RISK_READER = ("riesgo",)
 AUDIT_READER = ("auditoria",)
+#: Readers of the published lake and their groups; one is in two groups, one (``guest``) in none.
+READERS = (("engineer", "ingenieria"), ("analyst", "riesgo"), ("auditor", "auditoria"), ("auditor", "marketing"), ("lead", "auditoria"), ("lead", "riesgo"))
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -296,6 +300,15 @@ def q_secure_users(spark, sf_dir):
     return secure_view(layers(spark, sf_dir).silver["users"], RISK_READER)
 
 
+@query("secure_lake")
+def q_secure_lake(spark, sf_dir):
+    """What each of five readers sees of the published users: policies and memberships are rows of the lake."""
+    root = lake_root(spark, sf_dir)
+    seen = [read_lake(spark, root, reader)["users_silver"].select(F.lit(reader).alias("reader"), "*")
+            for reader in ("engineer", "analyst", "auditor", "lead", "guest")]
+    return reduce(DataFrame.unionAll, seen)
+
+
 # ---------------------------------------------------------------- snapshots
 def _snapshot(spark, sf_dir, name):
     root = f"{checkpoint_root(spark)}/strata-gold/{testdata._bronze_dir(spark, sf_dir).rsplit('/', 1)[-1]}"
@@ -323,11 +336,17 @@ def lake(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     Dashboard queries read these stored tables and never build a layer of their own.
     """
+    return owner_tables(spark, lake_root(spark, sf_dir))
+
+
+def lake_root(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the published fixtures, with the policies and members of ``READERS``."""
     root = f"{checkpoint_root(spark)}/strata-published/{testdata._bronze_dir(spark, sf_dir).rsplit('/', 1)[-1]}"
     with _PUBLISH:
         if not versions(spark, root):
+            write_policies(policy_rows(spark), member_rows(spark, READERS), root)
             publish(layers(spark, sf_dir), root, AS_OF, snapshots=False, run_id="fixture")
-    return read_lake(spark, root)
+    return root
 
 
 def records(spark, sf_dir) -> DataFrame:
