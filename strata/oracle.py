@@ -276,8 +276,41 @@ def _run_log() -> str:
     return _q(" UNION ALL ".join(parts))
 
 
+def _event_log() -> str:
+    """Events of one job in order: start, batches read, tables written, end."""
+    written = [("Silver", "transactions_silver", "tx_silver"), ("Silver", "users_silver", "u_silver"), ("Silver", "merchants_silver", "m_silver")]
+    written += [("Silver", f"unaccounted_{n}", f"{w} WHERE NOT coalesce(valid, false) AND reject_reason IS NULL")
+                for n, w in (("transactions", "tx_w"), ("users", "u_w"), ("merchants", "m_w"))]
+    written += [("Silver", "quarantine", "quarantine")]
+    gold = [("dim_channel", "dim_channel"), ("fact_transactions", "fact"), ("dim_merchant", "dim_merchant"),
+            ("dim_user", "dim_user"), ("dim_date", "dim_date")]
+    written += [("Gold", t, src) for t, src in gold]
+    views = dict(gold)
+    written += [("Gold", f"mv_{t}", views[t]) for t in ("fact_transactions", "dim_merchant", "dim_user", "dim_channel", "dim_date")]
+    event = ("'fixture:' || {n} AS id, '{{\"run_id\":\"fixture\",\"number\":{n}}}' AS sequence, {origin} AS origin, "
+             f"CAST({AS_OF} AS TIMESTAMP) AS timestamp, {{message}} AS message, {{level}} AS level, 'STABLE' AS maturity_level, "
+             "CAST(NULL AS VARCHAR) AS error, {details} AS details, '{kind}' AS event_type, 1 AS count")
+    parts = ["SELECT " + event.format(n=0, origin="CAST(NULL AS VARCHAR)", message="'Run fixture started'", level="'INFO'",
+                                      details="CAST(NULL AS VARCHAR)", kind="create_update")]
+    for n, (table, src) in enumerate((("transactions", "tx_raw"), ("users", "u_raw"), ("merchants", "m_raw")), 1):
+        parts.append("SELECT " + event.format(
+            n=n, origin=f"'{{\"layer\":\"Bronze\",\"table_name\":\"{table}\",\"batch_id\":0}}'", message=f"count(*) || ' rows read into {table}'",
+            level="'INFO'", details="'{\"rows\":' || count(*) || ',\"expectations\":[]}'", kind="flow_progress") + f" FROM {src}")
+    for n, (layer, table, src) in enumerate(written, 4):
+        checks = sorted((name, f"coalesce({cond}, false)") for t, name, cond, _ in _EXPECTATIONS if t == table)
+        cells = " || ',' || ".join(f"'{{\"name\":\"{name}\",\"passed\":' || count_if({ok}) || ',\"failed\":' || count_if(NOT {ok}) || '}}'" for name, ok in checks)
+        level = f"CASE WHEN {' + '.join(f'count_if(NOT {ok})' for _, ok in checks)} > 0 THEN 'WARN' ELSE 'INFO' END" if checks else "'INFO'"
+        parts.append("SELECT " + event.format(
+            n=n, origin=f"'{{\"layer\":\"{layer}\",\"table_name\":\"{table}\"}}'", message=f"count(*) || ' rows written to {table}'", level=level,
+            details="'{\"rows\":' || count(*) || ',\"expectations\":[' || " + (cells + " || " if cells else "") + "']}'", kind="flow_progress") + f" FROM {src}")
+    parts.append("SELECT " + event.format(n=len(written) + 4, origin="CAST(NULL AS VARCHAR)", message="'Run fixture completed'", level="'INFO'",
+                                          details="CAST(NULL AS VARCHAR)", kind="update_progress"))
+    return _q(" UNION ALL ".join(parts))
+
+
 ORACLE: dict[str, str] = {
     "run_log": _run_log(),
+    "event_log_dataset": _event_log(),
     # sources
     "ingest_csv": _q(f"SELECT {TX_COLS} FROM tx_raw"),
     "ingest_pipe": _q(f"SELECT {U_COLS} FROM u_raw"),
@@ -338,7 +371,15 @@ ORACLE: dict[str, str] = {
     "mv_dim_user": _q("SELECT * FROM dim_user"),
     "mv_dim_channel": _q("SELECT * FROM dim_channel"),
     "mv_dim_date": _q("SELECT * FROM dim_date"),
-    "fact_daily_window": _q("SELECT * EXCLUDE (_ingested_at) FROM fact"),
+    "fact_daily_window": _q("""SELECT t.user_id, t.merchant_id,
+    CASE t.channel WHEN 'web' THEN 1 WHEN 'app' THEN 2 WHEN 'pos' THEN 3 ELSE 99 END AS channel_id,
+    CAST(time_bucket(INTERVAL 1 DAY, CAST(t.transaction_date AS TIMESTAMP)) AS DATE) AS transaction_date,
+    CAST(sum(t.amount) AS DECIMAL(28,2)) AS total_amount, count(*) AS transaction_count,
+    avg(CASE WHEN t.transaction_type = 'reversa' THEN 1.0 ELSE 0.0 END) AS reversal_rate,
+    CAST(coalesce(any_value(r.risk_score), 0) AS DOUBLE) AS avg_risk_score
+  FROM tx_silver t LEFT JOIN m_risk r ON t.merchant_id = r.merchant_id
+  WHERE t.transaction_date IS NOT NULL GROUP BY 1, 2, 3, 4"""),
+    "fact_closed_repaired": _q("SELECT * EXCLUDE (_ingested_at) FROM fact"),
     # governance
     "mask_pii": _q(f"SELECT {_MASKED_USER} FROM u_silver"),
     "rls_riesgo": _q("SELECT user_id, segment FROM u_silver WHERE segment IN ('premium', 'estandar')"),

@@ -19,23 +19,30 @@ from pyspark.sql import functions as F
 
 from strata import vocab
 from strata.operators.entities import ENTITIES
+from strata.plans.events import EventLog
 from strata.plans.medallion import build
-from strata.plans.publish import publish
+from strata.plans.publish import new_run_id, publish
 from strata.sources.bronze import read_bronze, with_audit
 from strata.sources.manifest import SourceSpec, load_manifest
 from strata.streaming.ingest import ingest_manifest
 
+#: Folder of the event log below a lake's root.
+EVENT_LOG = "observability/event_log"
+
 
 def run_job(spark: SparkSession, specs: Iterable[SourceSpec], root: str, schemas=None, as_of=None,
             writer_groups: Iterable[str] = (), run_id: str | None = None) -> dict[str, DataFrame]:
     """Ingest what is active, then publish all entities as one version.
 
     An entity whose source is inactive keeps its rows of earlier runs, or has none; sources that
-    are no entity are ingested into bronze only.
+    are no entity are ingested into bronze only. The steps, and the error of a run that fails, are
+    appended to ``observability/event_log`` (see ``plans.events``).
     """
-    ingest_manifest(spark, list(specs), f"{root}/bronze", schemas, as_of)
-    bronze = {name: landed(spark, f"{root}/bronze/{name}", ENTITIES[name].columns) for name in ENTITIES}
-    return publish(build(bronze, as_of, writer_groups), root, as_of, writer_groups, run_id=run_id)
+    run_id = run_id or new_run_id()
+    with EventLog(spark, f"{root}/{EVENT_LOG}", run_id, as_of) as events:
+        ingest_manifest(spark, list(specs), f"{root}/bronze", schemas, as_of, events=events)
+        bronze = {name: landed(spark, f"{root}/bronze/{name}", ENTITIES[name].columns) for name in ENTITIES}
+        return publish(build(bronze, as_of, writer_groups), root, as_of, writer_groups, run_id=run_id, events=events)
 
 
 def landed(spark: SparkSession, path: str, columns: Iterable[str]) -> DataFrame:

@@ -18,6 +18,7 @@ from strata.operators.entities import ENTITIES
 from strata.operators.observe import expectations, observed, run_log
 from strata.operators.policies import MEMBER_SCHEMA, POLICY_SCHEMA, member_rows, policy_rows, secure_table
 from strata.operators.silver import silver
+from strata.plans.events import EventLog
 from strata.plans.medallion import SILVER_NAMES, Layers
 
 GOLD_SNAPSHOTS = ("fact_transactions", "dim_merchant", "dim_user", "dim_channel", "dim_date")
@@ -32,6 +33,10 @@ def materialize(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     return df.sparkSession.read.parquet(path)
 
 
+def new_run_id() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
+
+
 def _filesystem(spark: SparkSession, path: str):
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     return hadoop, hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -102,17 +107,18 @@ def remove_versions(spark: SparkSession, root: str, keep: int) -> list[str]:
 
 
 def publish(layers: Layers, root: str, as_of=None, writer_groups: Iterable[str] = (),
-            snapshots: bool = True, run_id: str | None = None) -> dict[str, DataFrame]:
+            snapshots: bool = True, run_id: str | None = None, events: EventLog | None = None) -> dict[str, DataFrame]:
     """Write winners (staging), silver, gap reports, quarantine, gold and gold snapshots.
 
     The dedup winners are written once and re-read, so silver, quarantine and the gap
     report do not each recompute the dedup aggregate; gold reads the stored silver.
     Row counts and silver expectations are observed during the writes themselves and
     appended to ``observability/run_log``. Everything lies below ``versions/<run id>`` and is
-    seen by ``read_lake`` only once all of it is written. Returns table name -> stored DataFrame.
+    seen by ``read_lake`` only once all of it is written. ``events`` gets one event per table.
+    Returns table name -> stored DataFrame.
     """
     spark = next(iter(layers.bronze.values())).sparkSession
-    run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
+    run_id = run_id or new_run_id()
     checks = expectations()
     log: list[tuple[str, str, dict]] = []
     base, root = root, f"{root}/versions/{run_id}"
@@ -123,6 +129,8 @@ def publish(layers: Layers, root: str, as_of=None, writer_groups: Iterable[str]
         df, obs = observed(df, f"{run_id}:{table}", checks.get(table, ()))
         out = materialize(df, path)
         log.append((layer, table, obs.get))
+        if events is not None:
+            events.add("flow_progress", f"{obs.get['rows']} rows written to {table}", layer=layer, table=table, metrics=obs.get)
         return out
 
     stored: dict[str, DataFrame] = {}

@@ -423,13 +423,32 @@ def q_event_log_rollup(spark, sf_dir):
     return O.rollup_count(testdata.read_table(spark, sf_dir, "events"), ("event_type",))
 
 
-# ---------------------------------------------------------------- streaming re-aims (T5)
+@query("event_log_dataset")
+def q_event_log_dataset(spark, sf_dir):
+    """Ten dimensions and count over the event log of a whole job: ingest of the landing files, then a publish."""
+    from strata.plans.events import DIMENSIONS, event_dimensions, read_events
+    from strata.plans.job import EVENT_LOG
+
+    return O.rollup_count(event_dimensions(read_events(spark, f"{testdata.fixture_job(spark, sf_dir)}/{EVENT_LOG}")), DIMENSIONS)
+
+
+# ---------------------------------------------------------------- event-time windows
 @query("fact_daily_window")
 def q_fact_daily_window(spark, sf_dir):
+    """The fact by one-day event-time windows, as the bounded stream groups it; rows without a date are in no window."""
     from strata.streaming.fact import daily_fact
 
     L = layers(spark, sf_dir)
-    return daily_fact(L.silver["transactions"], L.silver["merchants"])
+    return daily_fact(L.silver["transactions"], L.silver["merchants"], lateness="1 day")
+
+
+@query("fact_closed_repaired")
+def q_fact_closed_repaired(spark, sf_dir):
+    """Days closed by a watermarked stream, corrected for what came late, and the days still open."""
+    from strata.streaming.repair import read_repaired_fact
+
+    root, stored = testdata.fixture_closed_days(spark, sf_dir, lake(spark, sf_dir)), lake(spark, sf_dir)
+    return read_repaired_fact(spark, root, stored["transactions_silver"], stored["merchants_silver"])
 
 
 # ---------------------------------------------------------------- incremental tables

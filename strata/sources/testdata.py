@@ -224,3 +224,49 @@ def fixture_incremental(spark: SparkSession, sf_dir: str) -> str:
                         fold(spark, f"{root}/{name}", buckets=4)
             write_marker(spark, f"{base}/current.txt", root)
         return read_text(spark, f"{base}/current.txt").strip()
+
+
+# ---------------------------------------------------------------- a whole job, and days closed by a stream
+def fixture_job(spark: SparkSession, sf_dir: str) -> str:
+    """Lake root of one whole job over the landing files; run once for each state of the input."""
+    import uuid
+
+    from strata import vocab
+    from strata.plans.job import run_job
+    from strata.sources.files import exists, read_text, write_marker
+
+    base = _bronze_dir(spark, sf_dir) + "-job"
+    schemas = {"transactions": vocab.TRANSACTIONS_SCHEMA, "users": vocab.USERS_SCHEMA, "merchants": vocab.MERCHANTS_SCHEMA}
+    with _FEED_LOCK:
+        if not exists(spark, f"{base}/current.txt"):
+            root = f"{base}/{uuid.uuid4().hex}"
+            run_job(spark, write_fixture_landing(spark, sf_dir, root), f"{root}/lake", schemas, FIXTURE_AS_OF, run_id="fixture")
+            write_marker(spark, f"{base}/current.txt", f"{root}/lake")
+        return read_text(spark, f"{base}/current.txt").strip()
+
+
+def fixture_closed_days(spark: SparkSession, sf_dir: str, stored, drops: int = 3) -> str:
+    """Root of a fact whose days a stream closes, fed silver in drops that each hold rows of all days.
+
+    The first drop closes nearly all days, so most rows of the others are late. Repairs run after
+    the second and the last drop.
+    """
+    import uuid
+
+    from strata.sources.files import exists, read_text, write_marker
+    from strata.streaming.repair import CLOSED, repair_closed_days, run_closed_groups
+
+    base = _bronze_dir(spark, sf_dir) + "-closed"
+    tx = stored["transactions_silver"]
+    with _FEED_LOCK:
+        if not exists(spark, f"{base}/current.txt"):
+            root = f"{base}/{uuid.uuid4().hex}"
+            for drop in range(drops):
+                part = tx.where(F.pmod(F.xxhash64(F.lit("late"), "transaction_id"), F.lit(drops)) == drop)
+                part.write.mode("overwrite").parquet(f"{root}/landing/drop={drop}")
+                stream = spark.readStream.schema(tx.schema).parquet(f"{root}/landing/drop=*")
+                run_closed_groups(stream, f"{root}/{CLOSED}", f"{root}/checkpoint", "1 day")
+                if drop:
+                    repair_closed_days(spark, root, spark.read.parquet(f"{root}/landing").drop("drop"))
+            write_marker(spark, f"{base}/current.txt", root)
+        return read_text(spark, f"{base}/current.txt").strip()

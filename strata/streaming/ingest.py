@@ -50,15 +50,22 @@ def start_ingest(spark: SparkSession, spec: SourceSpec, bronze_path: str, schema
 
 
 def ingest_manifest(spark: SparkSession, specs, bronze_root: str, schemas=None, as_of=None,
-                    declared: bool = False, files_per_batch: int | None = None) -> dict[str, str]:
+                    declared: bool = False, files_per_batch: int | None = None, events=None) -> dict[str, str]:
     """Run every active manifest entry; returns table name -> bronze path.
 
     The runs are started together so the sources ingest concurrently; if one fails, the others are
     stopped. With ``declared`` the manifest's own checkpoint path and partition column are used,
-    else checkpoints lie below ``bronze_root`` and tables are flat.
+    else checkpoints lie below ``bronze_root`` and tables are flat. ``events`` (an ``EventLog``) gets one
+    event per batch that read rows, source by source.
     """
     schemas = schemas or {}
     paths, queries = {}, []
+    listener = None
+    if events is not None:
+        from strata.plans.events import BatchEvents
+
+        listener = BatchEvents()
+        spark.streams.addListener(listener)
     try:
         for spec in active_specs(specs):
             path = f"{bronze_root}/{spec.table_name}"
@@ -70,8 +77,14 @@ def ingest_manifest(spark: SparkSession, specs, bronze_root: str, schemas=None,
             q.awaitTermination()
             if q.exception() is not None:
                 raise q.exception()
+        if listener is not None:
+            for table, q in zip(paths, queries):
+                for batch, rows in listener.batches(str(q.runId)):
+                    events.add("flow_progress", f"{rows} rows read into {table}", layer="Bronze", table=table, batch=batch, metrics={"rows": rows})
     finally:
         for q in queries:
             if q.isActive:
                 q.stop()
+        if listener is not None:
+            spark.streams.removeListener(listener)
     return paths

@@ -70,20 +70,20 @@ def test_job_from_landing_files(spark, scratch):
 def test_failed_publish_leaves_the_whole_old_set(spark, scratch):
     import pytest
 
-    from strata.plans.publish import read_lake, remove_versions, versions
+    from strata.plans.publish import owner_tables, remove_versions, versions
 
     first = publish(build(fixture_bronzes(spark, SF_SMALL), AS_OF), scratch, AS_OF, run_id="a")
-    before = {n: rows(df) for n, df in read_lake(spark, scratch).items()}
+    before = {n: rows(df) for n, df in owner_tables(spark, scratch).items()}
     assert set(before) == set(first) - {"run_log"}
     bronze = dict(fixture_bronzes(spark, SF_SMALL))
     bronze["users"] = bronze["users"].withColumn("user_id", F.raise_error(F.lit("lost")).cast("string"))  # fails while it is written
     with pytest.raises(Exception, match="lost"):
         publish(build(bronze, AS_OF), scratch, AS_OF, run_id="b")
     assert versions(spark, scratch) == ["a"]
-    assert {n: rows(df) for n, df in read_lake(spark, scratch).items()} == before
+    assert {n: rows(df) for n, df in owner_tables(spark, scratch).items()} == before
     publish(build(fixture_bronzes(spark, SF_SMALL), AS_OF), scratch, AS_OF, run_id="c")
     assert remove_versions(spark, scratch, keep=1) == ["a"] and versions(spark, scratch) == ["c"]
-    assert {n: rows(df) for n, df in read_lake(spark, scratch).items()} == before
+    assert {n: rows(df) for n, df in owner_tables(spark, scratch).items()} == before
 
 
 def test_job_with_an_inactive_and_an_extra_source(spark, scratch):
