@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import bounded_batches, free_name, stored
@@ -182,12 +182,17 @@ def personal_spans(docs: DataFrame, rounds: int = 3, least: float = 0.5, support
     return out.select(F.col("d").alias("doc_id"), F.array_sort(F.concat("base", F.coalesce("new", F.array().cast(f"array<{_SPAN}>")))).alias("spans"))
 
 
+def _count(kind: int) -> Column:
+    """Spans of a kind; Spark takes a second parameter of the function, even one with a default, as the place in the array."""
+    return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
+
+
 def span_digests(rows: DataFrame) -> DataFrame:
     """The contract's columns: counts of base spans, the digest of their list, and the list of all spans."""
     names = F.array(*[F.lit(k) for k in KINDS])
     base = F.filter("spans", lambda s: s.kind < KINDS.index("found"))
     listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s.kind), s.start, s.end)), ",")
-    counts = [F.size(F.filter("spans", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:4])]
+    counts = [_count(k).alias(f"n_{name}") for k, name in enumerate(KINDS[:4])]
     return rows.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 

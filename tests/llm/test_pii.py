@@ -57,6 +57,16 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
     assert mask_spans(docs.where("doc_id is null")).first().masked == "card [card]"
 
 
+def test_counts_are_by_kind(spark):
+    """Spans stand in another order than the kinds, and a kind more than once."""
+    texts = ["+1 (017) 555-7713, 192.168.0.1, b@c.de", "a@b.cd x@y.zz f@g.hi", "192.168.0.1 a@b.cd", "4111111111111111", "+1 (017) 555-7713 +1 (017) 555-7714"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in span_digests(personal_spans(docs)).collect()}
+    for i, text in enumerate(texts):
+        spans = plain(text)
+        assert [got[i].n_email, got[i].n_ip, got[i].n_card, got[i].n_phone] == [sum(kind == k for _, kind, _ in spans) for k in range(4)], text
+
+
 def test_long_chains_of_patterns_are_followed(spark):
     from strata.llm.pii import confident_patterns
 
