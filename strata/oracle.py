@@ -378,7 +378,7 @@ ORACLE: dict[str, str] = {
     avg(CASE WHEN t.transaction_type = 'reversa' THEN 1.0 ELSE 0.0 END) AS reversal_rate,
     CAST(coalesce(any_value(r.risk_score), 0) AS DOUBLE) AS avg_risk_score
   FROM tx_silver t LEFT JOIN m_risk r ON t.merchant_id = r.merchant_id
-  WHERE t.transaction_date IS NOT NULL GROUP BY 1, 2, 3, 4"""),
+  GROUP BY 1, 2, 3, 4"""),
     "fact_closed_repaired": _q("SELECT * EXCLUDE (_ingested_at) FROM fact"),
     # governance
     "mask_pii": _q(f"SELECT {_MASKED_USER} FROM u_silver"),

@@ -59,3 +59,11 @@ def test_load_dates_make_the_date_filter_count(spark):
     whole, some = (QUERIES[n](spark, SF_SMALL) for n in ("records_by_layer_table", "records_date_range"))
     assert some.agg({"total_records": "sum"}).first()[0] < whole.agg({"total_records": "sum"}).first()[0]
     assert QUERIES["records_over_time"](spark, SF_SMALL).where("layer = 'Bronze'").count() == 3
+
+
+def test_daily_windows_keep_rows_without_a_date(spark):
+    tx = QUERIES["silver_transactions"](spark, SF_SMALL)
+    days = QUERIES["fact_daily_window"](spark, SF_SMALL)
+    undated = tx.where("transaction_date is null").count()
+    assert undated and days.where("transaction_date is null").agg({"transaction_count": "sum"}).first()[0] == undated
+    assert days.agg({"transaction_count": "sum"}).first()[0] == tx.count()
