@@ -12,7 +12,9 @@ Scale notes
 * ``rank_rows`` marks duplicates with an anti join on the *row id* of the winners,
   not on the business key. Row ids are unique, so that shuffle is uniform whatever
   the key distribution; a hot key never lands in one task. NULL-key rows (the usual
-  hot group) cannot match a winner and skip that shuffle altogether.
+  hot group) cannot match a winner and skip that shuffle altogether. The join is a merge join by
+  its hint: ids with file paths take little room in Parquet, so Spark's estimate of a stored
+  winners table would broadcast all of them through the driver.
 """
 
 from __future__ import annotations
@@ -66,6 +68,6 @@ def rank_rows(df: DataFrame, entity: Entity, winners: DataFrame | None = None) -
     # NULL keys never match a winner: they bypass the shuffle (IS NULL is pushed to the scan)
     null_keys = df.filter(F.col(key).isNull()).withColumn(DUP, F.lit(None).cast("boolean"))
     duplicates = (df.filter(F.col(key).isNotNull())
-                    .join(winners.select(vocab.ROW_ID), vocab.ROW_ID, "left_anti")
+                    .join(winners.select(vocab.ROW_ID).hint("merge"), vocab.ROW_ID, "left_anti")
                     .withColumn(DUP, F.lit(True)))
     return null_keys.unionByName(duplicates).unionByName(winners.withColumn(DUP, F.lit(False)))

@@ -67,3 +67,15 @@ def test_daily_windows_keep_rows_without_a_date(spark):
     undated = tx.where("transaction_date is null").count()
     assert undated and days.where("transaction_date is null").agg({"transaction_count": "sum"}).first()[0] == undated
     assert days.agg({"transaction_count": "sum"}).first()[0] == tx.count()
+
+
+def test_rows_are_told_apart_without_a_broadcast(spark):
+    """Winners' ids and orders grow with the input, so neither goes through the driver, however small it seems."""
+    from strata.operators.dedup import keep_best, rank_rows
+    from strata.operators.entities import TRANSACTIONS
+    from strata.sources.testdata import fixture_bronze, raw_frame
+
+    raw = fixture_bronze(spark, SF_SMALL, "transactions")
+    for df in (rank_rows(raw, TRANSACTIONS, keep_best(raw, TRANSACTIONS)), raw_frame(spark, SF_SMALL, "transactions")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
