@@ -63,7 +63,7 @@ def _data(df: DataFrame, entity) -> DataFrame:
 
 # ---------------------------------------------------------------- sources
 def _ingested(spark, sf_dir, table, entity) -> DataFrame:
-    path = testdata.fixture_ingested(spark, sf_dir)[table]
+    path = testdata.fixture_ingested(spark, sf_dir, [table])[table]
     return _data(spark.read.parquet(path), entity)
 
 

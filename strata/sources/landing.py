@@ -39,9 +39,10 @@ def read_landing(spark: SparkSession, spec: SourceSpec, schema: StructType,
 
 
 def write_csv(df: DataFrame, path: str, delimiter: str = ",", header: bool = True,
-              mode: str = "overwrite") -> None:
+              mode: str = "overwrite", compression: str | None = None) -> None:
     """Landing CSV exactly as given: no whitespace trimming, NULL as an empty field."""
     (df.write.mode(mode)
+       .option("compression", compression or "none")
        .option("delimiter", delimiter).option("header", str(header).lower())
        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
        .csv(path))

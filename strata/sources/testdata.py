@@ -147,17 +147,18 @@ def fixture_manifest(root: str) -> list:
     ]
 
 
-def write_fixture_landing(spark: SparkSession, sf_dir: str, root: str, drops: int = 1) -> list:
+def write_fixture_landing(spark: SparkSession, sf_dir: str, root: str, drops: int = 1, sources=None, compression: str | None = None) -> list:
     """Write the raw fixtures as landing files (CSV ',', CSV '|', JSON arrays).
 
     With ``drops`` > 1 each source is split into that many sub-folders ``drop=<i>``
-    (by a hash of the row) so a stream can be fed one drop at a time.
+    (by a hash of the row) so a stream can be fed one drop at a time. ``sources`` names those to write,
+    all by default; ``compression`` is that of the CSV files.
     """
     from pyspark.sql import functions as F
 
     from strata.sources.landing import write_csv, write_json_arrays
 
-    specs = fixture_manifest(root)
+    specs = [s for s in fixture_manifest(root) if sources is None or s.source_name in sources]
     for spec in specs:
         raw = raw_frame(spark, sf_dir, spec.source_name)
         for i in range(drops):
@@ -167,7 +168,7 @@ def write_fixture_landing(spark: SparkSession, sf_dir: str, root: str, drops: in
             if spec.file_format == "json":
                 write_json_arrays(part, out)
             else:
-                write_csv(part, out, delimiter=spec.delimiter, header=bool(spec.header))
+                write_csv(part, out, delimiter=spec.delimiter, header=bool(spec.header), compression=compression)
     return specs
 
 
@@ -175,23 +176,25 @@ def landing_root(spark: SparkSession, sf_dir: str) -> str:
     return _bronze_dir(spark, sf_dir) + "-landing"
 
 
-def fixture_ingested(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Landing files written once per session, then ingested with ``availableNow``.
+def fixture_ingested(spark: SparkSession, sf_dir: str, sources=tuple(KEYS)) -> dict[str, str]:
+    """Landing files of ``sources`` written once per session, then ingested with ``availableNow``.
 
     Returns table -> bronze path. A second call finds no new files and adds nothing.
     """
     from strata import vocab
+    from strata.sources.files import write_marker
     from strata.streaming.ingest import ingest_manifest
 
     root = landing_root(spark, sf_dir)
     schemas = {"transactions": vocab.TRANSACTIONS_SCHEMA, "users": vocab.USERS_SCHEMA,
                "merchants": vocab.MERCHANTS_SCHEMA}
     with _WRITE_LOCK:
-        if not _exists(spark, f"{root}/landing/_WRITTEN"):
-            write_fixture_landing(spark, sf_dir, root)
-            spark.createDataFrame([("ok",)], "v string").coalesce(1).write.mode("overwrite").text(
-                f"{root}/landing/_WRITTEN")
-        return ingest_manifest(spark, fixture_manifest(root), f"{root}/bronze", schemas, FIXTURE_AS_OF)
+        for source in sources:
+            if not _exists(spark, f"{root}/landing/_written-{source}"):
+                write_fixture_landing(spark, sf_dir, root, sources=[source], compression="gzip")
+                write_marker(spark, f"{root}/landing/_written-{source}", "ok")
+        specs = [s for s in fixture_manifest(root) if s.source_name in sources]
+        return ingest_manifest(spark, specs, f"{root}/bronze", schemas, FIXTURE_AS_OF)
 
 
 # ---------------------------------------------------------------- drops for the incremental tables

@@ -156,3 +156,19 @@ def test_manifest_settings_are_honoured(spark, scratch):
         assert any(n.startswith("_part_") for n in os.listdir(local(paths[s.table_name])))
         landed = read_bronze(spark, paths[s.table_name])
         assert landed.count() == landed.select(vocab.ROW_ID).distinct().count() > 0
+
+
+def test_a_source_is_ingested_without_the_others(spark, tmp_path):
+    from strata.plans.queries import REGISTRY
+    from strata.sources.files import names
+    from strata.sources.testdata import landing_root
+    from tests.conftest import SF_SMALL
+
+    for name in os.listdir(SF_SMALL):
+        (tmp_path / name).symlink_to(f"{SF_SMALL}/{name}")
+    sf = str(tmp_path)
+    assert REGISTRY["ingest_json"](spark, sf).count() > 0
+    assert names(spark, f"{landing_root(spark, sf)}/landing") == names(spark, f"{landing_root(spark, sf)}/bronze") == ["merchants"]
+    assert REGISTRY["ingest_manifest"](spark, sf).count() == REGISTRY["ingest_manifest"](spark, SF_SMALL).count()
+    landed = names(spark, f"{landing_root(spark, sf)}/landing/transactions")
+    assert landed and all(n.endswith(".csv.gz") for n in landed)
