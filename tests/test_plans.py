@@ -79,3 +79,19 @@ def test_rows_are_told_apart_without_a_broadcast(spark):
     for df in (rank_rows(raw, TRANSACTIONS, keep_best(raw, TRANSACTIONS)), raw_frame(spark, SF_SMALL, "transactions")):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_shuffles_and_bronze_files_follow_the_input(spark):
+    from strata.session import size_shuffles
+    from strata.sources.testdata import spread_files
+
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        for size in (0, 1 << 30, 6 << 30):
+            size_shuffles(spark, size)
+            assert int(spark.conf.get(name)) == max(least, size >> 21)
+    finally:
+        spark.conf.unset(name)
+    cores = spark.sparkContext.defaultParallelism
+    assert spread_files(spark, 1) == cores and spread_files(spark, cores << 30) is None
