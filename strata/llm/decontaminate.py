@@ -88,7 +88,7 @@ def _windows(frame: DataFrame, width: int, place: str, item: bool = False) -> Da
     first three forms only if half of their words or more are no slots; those with more slots count as they stand (``t3``).
     """
     rest, every = [c for c in frame.columns if c not in ("s", *FORMS)], F.lit(1 << 30)
-    out = frame.where(F.size("t0") >= width).withColumn("n", F.size("t0") - width + 1)
+    out = frame.withColumn("n", F.size("t0") - width + 1)
     if item:
         types = [F.xxhash64(F.lit(x)) for x in (NAME, NUMBER, UNIT)]
         many = lambda t: lambda i: 2 * F.size(F.filter(F.slice(t, i, width), lambda x: x.isin(*types))) > width
@@ -104,7 +104,8 @@ def _windows(frame: DataFrame, width: int, place: str, item: bool = False) -> Da
     if item:
         parts[:3] = [F.zip_with(x, f"many_{t}", lambda h, many: F.when(~many, h)) for x, t in zip(parts[:3], FORMS, strict=False)]
         parts[3] = F.zip_with(parts[3], "many_t0", lambda h, many: F.when(many, h))
-    out = out.select(*rest, "n", F.posexplode(F.concat(*parts)).alias("at", "window"))
+    # decided in the generator: a filter would be moved below the projections and compute the words and hashes once more
+    out = out.select(*rest, "n", F.posexplode(F.when(F.col("n") > 0, F.concat(*parts))).alias("at", "window"))
     return out.select(*rest, (F.col("at") % F.col("n")).alias(place), "window").where("window is not null")
 
 
@@ -118,14 +119,17 @@ def matchable(texts: DataFrame, vocabulary: list[str], least: int) -> DataFrame:
     # numbers and capitalised words: signs before "a" in ASCII, beyond it by a pattern
     known = lambda w: (w < "a") | F.lower(w).isin(*vocabulary) | ((w > "~") & w.rlike(r"^[\p{N}\p{Lu}\p{Lt}]"))
     out = texts.withColumn("w", F.regexp_extract_all("x", F.lit(WORD), F.lit(0)))
-    flags = F.array_join(F.transform("w", lambda w: F.when(known(w), "1").otherwise("0")), "")
+    out = out.withColumn("f", F.array_join(F.transform("w", lambda w: F.when(known(w), "1").otherwise("0")), ""))
+    flags = F.col("f")
     for k in range(1, least):
         flags = F.regexp_replace(flags, f"(?<!1){'1' * k}(?!1)", "0" * k)
-    out = out.withColumn("f", F.regexp_replace(flags, "01", "11")).where(F.contains("f", F.lit("1")))
+    flags = F.regexp_replace(flags, "01", "11")
     pieces = F.zip_with(F.split("x", WORD), "w", lambda gap, w: F.concat(gap, w))  # the gap behind the last word pairs with none
-    held = F.zip_with(pieces, F.split("f", ""), lambda p, f: F.when(f == "1", p).otherwise(BREAK))
+    held = F.zip_with(pieces, F.split(flags, ""), lambda p, f: F.when(f == "1", p).otherwise(BREAK))
     rest = [c for c in texts.columns if c != "x"]
-    return out.select(*rest, F.posexplode(F.split(F.array_join(held, ""), f"{BREAK}+")).alias("part", "x")).where("x <> ''")
+    # texts without a stretch are passed over in the generator: a filter would be moved below the projections and compute them once more
+    parts = F.when(F.contains("f", F.lit("1" * least)), F.split(F.array_join(held, ""), f"{BREAK}+"))
+    return out.select(*rest, F.posexplode(parts).alias("part", "x")).where("x <> ''")
 
 
 #: How the words of an item and a document at one place compare: by a name on one side only or one that

@@ -2,6 +2,7 @@ import re
 from collections import defaultdict
 
 import duckdb
+from pyspark.sql import functions as F
 
 from strata.llm.decontaminate import mark_contaminated
 
@@ -133,3 +134,14 @@ def test_equal_rows_are_judged_alike(spark):
     bench = spark.createDataFrame([(3, NAMES)], "item_id long, text string")
     out = mark_contaminated(docs, bench)
     assert out.count() == 4 and out.where("contaminated").count() == 3
+
+
+def test_words_are_taken_from_a_text_once(spark):
+    import strata.llm.decontaminate as module
+
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", module.cleaned(F.col("text")).alias("x"))
+    parts = module.matchable(texts, ["the", "of", "and"], 3).select("doc_id", "part", module.slots(F.col("x")).alias("s"))
+    windows = module._windows(module._with_templates(parts).drop("s"), 3, "i")
+    plan = windows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 2  # of the whole text and of its parts
+    assert not re.search(r"Filter [^\n]*regexp", plan)
