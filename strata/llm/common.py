@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 BATCH_ROWS = 512
 BATCH_BYTES = 8 << 20
+#: Rows of keys, numbers and hashes for which a scratch table gets a file.
+FILE_ROWS = 50_000
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -54,9 +56,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to a new shared table and read back: lineage ends here."""
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """``df`` written to a new shared table and read back: lineage ends here.
+
+    ``rows``: so many narrow rows at most. The table then has files in step with them, where each
+    partition of the last shuffle would otherwise write a file of its own, however few rows it has.
+    """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(1 + rows // FILE_ROWS)
     path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

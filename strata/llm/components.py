@@ -35,6 +35,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             break
         seen = state
         grown = _stars(now, large=True)
-        now = stored(_stars(grown, large=False), "components")
+        now = stored(_stars(grown, large=False), "components", state.n)  # a round has no more edges than the last
     roots = now.select(F.col("b").alias("a")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.select(F.col("a").alias("node"), F.col("a").alias("component")))

@@ -25,14 +25,14 @@ def line_words(line: Column) -> Column:
     return F.regexp_count(line, F.lit(r"[\p{L}\p{N}]+"))
 
 
-def _ranks(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """``pairs`` with ``name``: numbers in the sorted order of the distinct keys, equal for equal keys.
+def _ranks(pairs: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """``pairs``, ``rows`` at most, with ``name``: numbers in the sorted order of the distinct keys, equal for equal keys.
 
     Sorted by ranges over all tasks; a row's number is its task and place there, so it ascends.
     """
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = pairs.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    return stored(ordered.withColumn("name", F.monotonically_increasing_id()), "ranks")
+    return stored(ordered.withColumn("name", F.monotonically_increasing_id()), "ranks", rows)
 
 
 def _occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -85,10 +85,12 @@ def later_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     ordered by (key, hash), NULL keys first.
     """
     held = stored(_occurrences(docs, id_col, text_col), "lines")
+    n = held.count()
     again = held.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1").select("k1", "k2")
-    known = held.join(_ranks(again, ["k1", "k2"]), ["k1", "k2"]).select("d", "h", "p", "w", "before", "name")
-    at = stored(_stretches(known, min_words), "sequences")
-    runs = stored(_shortest_runs(at, min_words).withColumn("level", F.floor(F.log2("m") + 1e-9).cast("int")), "runs")
+    known = held.join(_ranks(again, ["k1", "k2"], n // 2), ["k1", "k2"]).select("d", "h", "p", "w", "before", "name")
+    at = stored(_stretches(known, min_words), "sequences", n)
+    n = at.count()
+    runs = stored(_shortest_runs(at, min_words).withColumn("level", F.floor(F.log2("m") + 1e-9).cast("int")), "runs", 2 * n)
     names, level, found = at.select("d", "h", "p", "name"), 0, None
     while True:
         size = 1 << level
@@ -102,9 +104,9 @@ def later_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
         ahead = names.select("d", "h", (F.col("p") - size).alias("p"), F.col("name").alias("last"))
         pairs = _on(names.withColumnRenamed("name", "first"), ahead)
         twice = pairs.groupBy("first", "last").agg(F.count("*").alias("n")).where("n > 1").select("first", "last")
-        names = stored(pairs.join(_ranks(twice, ["first", "last"]), ["first", "last"]).select("d", "h", "p", "name"), "suffixes")
+        names = stored(pairs.join(_ranks(twice, ["first", "last"], n // 2), ["first", "last"]).select("d", "h", "p", "name"), "suffixes", n)
         level += 1
-    found = stored(found, "found")
+    found = stored(found, "found", 2 * n)
     first = found.groupBy("m", "first", "last").agg(F.min(F.struct("d", "h", "p")).alias("origin"), F.count("*").alias("n")).where("n > 1")
     later = found.join(first, ["m", "first", "last"]).where(~F.struct("d", "h", "p").eqNullSafe(F.col("origin")))
     gone = later.select("d", "h", F.explode(F.sequence("p", F.col("p") + F.col("m") - 1)).alias("p")).distinct()

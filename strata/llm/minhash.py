@@ -238,14 +238,16 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
     spark = docs.sparkSession
     bounded_batches(spark)
     sigs = stored(signatures(docs, width, id_col, text_col), "signatures")
+    n = 8 * sigs.count()  # for files, a row with its registers counts as several
     key = F.struct("d", "h")
     reps = sigs.where("c1 <> 0").groupBy("c1", "c2").agg(F.min(key).alias("least"), F.first("sig").alias("sig"))
-    reps = stored(reps.withColumn("rep", F.monotonically_increasing_id()), "texts")
+    reps = stored(reps.withColumn("rep", F.monotonically_increasing_id()), "texts", n)
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring(F.col("sig"), k * (4 * ROWS) + 1, F.lit(4 * ROWS))))
     members = reps.select("rep", F.posexplode(bands).alias("band", "bucket"))
     buckets = members.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("size")).where("size > 1")
-    members = stored(members.join(buckets, "bucket"), "buckets")
-    stars = stored(members.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), "stars")
+    members = stored(members.join(buckets, "bucket"), "buckets", BANDS * reps.count())
+    size = members.count()
+    stars = stored(members.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), "stars", size)
     used = members.select("rep").distinct().join(reps.select("rep", "least"), "rep").select("rep", F.col("least.d").alias("d2"), F.col("least.h").alias("h2"))
     text = F.col(text_col).cast("string")
     whole = docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64(text).alias("h"), text.alias("t")).join(used, F.expr("d <=> d2 and h = h2"))
@@ -255,7 +257,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
     # buckets of three or more that are still in several components
     named = members.where("size > 2").join(classes, F.col("rep") == F.col("node"), "left").select("bucket", "band", "rep", "centre", "size", F.coalesce("component", "rep").alias("comp"))
     split = named.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max(F.when(F.col("rep") == F.col("centre"), F.col("comp"))).alias("of_centre"))
-    rest = stored(named.join(split.where("x <> y"), "bucket").withColumn("main", F.col("comp") == F.col("of_centre")).select("bucket", "band", "rep", "comp", "main", "size"), "unresolved")
+    rest = stored(named.join(split.where("x <> y"), "bucket").withColumn("main", F.col("comp") == F.col("of_centre")).select("bucket", "band", "rep", "comp", "main", "size"), "unresolved", size)
     if not rest.isEmpty():
         more = _more_links(rest, reps, texts, width, threshold)
         if not more.isEmpty():  # the classes so far are stars already, which leaves few rounds
@@ -263,7 +265,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: float = THRE
             classes = components(known.unionByName(more))
     named = reps.join(classes, F.col("rep") == F.col("node"), "left").select("c1", "c2", "least", F.coalesce("component", "rep").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("origin"))
-    facts = stored(named.join(least, "component").select("c1", "c2", "component", "origin"), "classes")
+    facts = stored(named.join(least, "component").select("c1", "c2", "component", "origin"), "classes", n)
     return sigs.select("d", "h", "c1", "c2").join(facts, ["c1", "c2"], "left").select("d", "h", "component", "origin")
 
 

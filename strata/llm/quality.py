@@ -9,12 +9,10 @@ distances use Cholesky factors computed once.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,16 +93,16 @@ class Discriminant:
         return 1 / (1 + np.exp(np.clip((logs[0] - logs[1]) * self.scale, -700, 700)))
 
 
-def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    d = len(STATS)
-    total = np.zeros((2, 1 + d + d * d))
-    for batch in batches:
-        x = np.array(batch.column(0).to_pylist(), float).reshape(-1, d)
-        y = np.array(batch.column(1).to_pylist(), int)
-        for k in range(2):
-            z = x[y == k]
-            total[k] += np.concatenate(([len(z)], z.sum(0), (z.T @ z).ravel()))
-    yield pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))], names=["y", "v"])
+def class_sums(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str) -> DataFrame:
+    """(y, n, s, o): rows of each class, the sums of their statistics and those of all products of two.
+
+    The sums are Spark's own: a task has one Python worker at a time, which takes the statistics.
+    """
+    known = labels.select(F.col(id_col).alias("k"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1)).groupBy("k").agg(F.max("y").alias("y"))
+    rows = docs.select(F.col(id_col).alias("k"), stats_column(F.col(text_col)).alias("x")).join(known, "k").select("x", "y")
+    x = [F.col("x")[i] for i in range(len(STATS))]
+    products = [F.sum(a * b) for i, a in enumerate(x) for b in x[i:]]
+    return rows.groupBy("y").agg(F.count("*").alias("n"), F.array(*map(F.sum, x)).alias("s"), F.array(*products).alias("o"))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", shrink: float = 0.05, scale: float = 0.5,
@@ -116,13 +114,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", shri
     """
     bounded_batches(docs.sparkSession)
     d = len(STATS)
-    known = labels.select(F.col(id_col).alias("k"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1)).groupBy("k").agg(F.max("y").alias("y"))
-    rows = docs.select(F.col(id_col).alias("k"), stats_column(F.col(text_col)).alias("x")).join(known, "k").select("x", "y")
-    parts = rows.mapInArrow(_moments, "y int, v array<double>").select("y", F.posexplode("v").alias("i", "v"))
-    total = np.zeros((2, 1 + d + d * d))
-    for r in parts.groupBy("y", "i").agg(F.sum("v").alias("v")).collect():
-        total[r.y, r.i] = r.v
-    return Discriminant.fit(total[:, 0], total[:, 1 : d + 1], total[:, d + 1 :].reshape(2, d, d), shrink, scale)
+    counts, sums, outers = np.zeros(2), np.zeros((2, d)), np.zeros((2, d, d))
+    upper = np.triu_indices(d)
+    for r in class_sums(docs, labels, label, id_col, text_col).collect():
+        counts[r.y], sums[r.y], outers[r.y][upper] = r.n, r.s, r.o
+        outers[r.y].T[upper] = r.o
+    return Discriminant.fit(counts, sums, outers, shrink, scale)
 
 
 def score_quality(docs: DataFrame, model: Discriminant, out: str = "score", text_col: str = "text") -> DataFrame:

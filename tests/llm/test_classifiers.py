@@ -1,3 +1,4 @@
+import re
 import random
 
 import numpy as np
@@ -111,3 +112,18 @@ def test_odd_tables(spark):
     assert got[None, None].lang_pred == got[100, ""].lang_pred == got[101, "12 34 !"].lang_pred == "und"
     assert all(got[i, t].lang_pred == lang for i, t, lang, _ in docs[:40])
     assert identify_language(frame, fit_languages(frame.limit(0))).where("found.lang_pred <> 'und'").count() == 0
+
+
+def test_class_sums_take_one_python_worker_a_task(spark):
+    from strata.llm.quality import class_sums
+
+    texts = [f"Text {k}: some words | here! " * (k % 5) for k in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 3) for k in range(40)], "doc_id long, quality int")
+    sums = class_sums(docs, labels, "quality", "doc_id", "text")
+    assert len(re.findall("ArrowEvalPython|BatchEvalPython|MapInArrow|InPandas", sums._jdf.queryExecution().optimizedPlan().toString())) == 1
+    got = {r.y: r for r in sums.collect()}
+    assert set(got) == {0, 1}
+    for y, r in got.items():
+        x = np.array([document_stats(t) for k, t in enumerate(texts) if k % 3 == y])
+        assert r.n == len(x) and np.allclose(r.s, x.sum(0)) and np.allclose(r.o, (x.T @ x)[np.triu_indices(len(STATS))])

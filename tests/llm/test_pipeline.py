@@ -1,8 +1,9 @@
 import re
+from pathlib import Path
 
 import corpus_pipeline
 from strata.llm import queries
-from strata.llm.common import stored
+from strata.llm.common import scratch, stored
 from strata.llm.components import components
 
 FOLDER = "/root/testdata/sf0.001"
@@ -51,3 +52,27 @@ def test_queries_match_their_sql(spark):
     con = duck("/root/testdata/sf0.01")
     for name, sql in queries.ORACLE.items():
         same_as_oracle(queries.REGISTRY[name](spark, "/root/testdata/sf0.01"), con, sql)
+
+
+def test_scratch_files_follow_the_rows(spark):
+    from strata.llm.line_dedup import later_lines
+    from strata.llm.minhash import near_duplicates
+
+    docs = queries.table(spark, FOLDER, "documents").limit(200)
+    docs = stored(docs.unionByName(docs.withColumn("doc_id", docs.doc_id + 100_000)), "docs")
+    root = Path(scratch(spark, "x").removeprefix("file:").rpartition("/")[0].replace("//", "/"))
+    before, own = set(root.iterdir()), {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {k: spark.conf.get(k) for k in own}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        assert later_lines(docs).count() and near_duplicates(docs).where("d >= 100000 and origin.d < 100000").count()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    files = {}
+    for folder in set(root.iterdir()) - before:
+        files.setdefault(folder.name.rpartition("-")[0], []).append(len(list(folder.glob("part-*.parquet"))))
+    assert len(files["ranks"]) > 2 and len(files["suffixes"]) > 1 and min(files["components"]) <= 1
+    for name in ("ranks", "suffixes", "sequences", "runs", "found", "texts", "buckets", "stars", "classes"):
+        assert max(files[name]) <= 1, (name, files[name])
